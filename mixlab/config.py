@@ -34,7 +34,6 @@ class MixConfig:
     remove_outliers: bool = True
     outlier_threshold: float = 3.0
     fill_strategy: str = "interpolate"
-    normalize: bool = False
     lags: tuple[int, ...] | None = DEFAULT_LAGS
     windows: tuple[int, ...] | None = DEFAULT_WINDOWS
     seasonality: bool = True
@@ -65,7 +64,6 @@ class MixConfig:
             remove_outliers=prep.get("remove_outliers", True),
             outlier_threshold=float(prep.get("outlier_threshold", 3)),
             fill_strategy=prep.get("fill_missing_strategy", "interpolate"),
-            normalize=prep.get("normalize_features", False),
             lags=lags if feat.get("create_lag_features", True) else None,
             windows=windows if feat.get("create_rolling_features", True) else None,
             seasonality=feat.get("create_seasonality_features", True),

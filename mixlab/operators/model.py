@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mixlab.functions.carryover import carry_over, geometric_weights, saturate
+from mixlab.functions.stats import correlation_of
 from mixlab.operators.panel import time_folds
 from mixlab.session import stage
 
@@ -174,7 +175,8 @@ def param_search(
     id_cols: Sequence[str] = (),
 ) -> DataFrame:
     """(ids, channel, decay_rate, k, S, r2): the grid point whose transformed spend
-    explains most of the target, per channel.
+    explains most of the target, per channel. A channel whose transformed spend
+    never varies has no best point and is left out.
 
     One window makes the carry-over of every channel and decay; each row is then
     expanded into its grid points inside the task and folded at once by a
@@ -201,11 +203,11 @@ def param_search(
         .select(*id_cols, "_y", F.inline(F.array(*series)))
         .select(*id_cols, "channel", "decay_rate", "_x", "_y", F.inline(F.array(*curves)))
     )
-    fit = F.corr(saturate(F.col("_x"), "hill", F.col("k"), F.col("S")), F.col("_y"))
+    fit = correlation_of(saturate(F.col("_x"), "hill", F.col("k"), F.col("S")), F.col("_y"))
     scores = points.groupBy(*id_cols, "channel", "decay_rate", "k", "S").agg((fit * fit).alias("r2"))
     point = F.struct("decay_rate", "k", "S", "r2")
     rank = F.struct(F.col("r2"), -F.col("decay_rate"), -F.col("k"), -F.col("S"))
-    best = scores.filter(F.col("r2").isNotNull() & ~F.isnan("r2")).groupBy(*id_cols, "channel").agg(
+    best = scores.filter(F.col("r2").isNotNull()).groupBy(*id_cols, "channel").agg(
         F.max_by(point, rank).alias("best")
     )
     return best.select(*id_cols, "channel", "best.*")

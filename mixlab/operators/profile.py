@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixlab.functions.calendar import WEEKDAYS
+from mixlab.functions.stats import correlation_of
 from mixlab.operators.prep import clipped
 from mixlab.operators.quantiles import quantile_columns
 
@@ -176,30 +177,28 @@ def quartiles(
     return found.select(*id_cols, *[F.col(f"{col}_{n}").alias(n) for n in names])
 
 
-def _corr(x: str, y: str) -> Column:
-    """Pearson correlation; NULL when a side is constant."""
-    value = F.corr(F.col(x).cast("double"), F.col(y).cast("double"))
-    return F.when(~F.isnan(value), value)
-
-
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(x, y, corr) for every ordered pair, from one aggregate over the upper triangle."""
-    rows = []
-    for i, x in enumerate(cols):
-        for y in cols[i:]:
-            rows.append(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), _corr(x, y).alias("corr")))
-    upper = df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
-    # Mirroring inside the row keeps the aggregate a single branch of the plan.
-    both = F.array(
-        F.struct("x", "y", "corr"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), "corr")
-    )
-    mirrored = F.when(F.col("x") == F.col("y"), F.slice(both, 1, 1)).otherwise(both)
-    return upper.select(F.inline(mirrored))
+    """(x, y, corr) for every ordered pair of columns, each over the rows where both are present.
+
+    A row is expanded into the pairs of the upper triangle inside its task and
+    folded at once by a partial aggregate, so the shuffle carries one row per
+    pair and task, and the code stays small however many columns there are.
+    """
+    values = {c: F.col(c).cast("double") for c in cols}
+    pairs = [
+        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), values[x].alias("_a"), values[y].alias("_b"))
+        for i, x in enumerate(cols)
+        for y in cols[i:]
+    ]
+    upper = df.select(F.inline(F.array(*pairs))).groupBy("x", "y").agg(correlation_of(F.col("_a"), F.col("_b")).alias("corr"))
+    swapped = F.struct(F.col("y").alias("x"), F.col("x").alias("y"), "corr")
+    both = F.array(F.struct("x", "y", "corr"), swapped)
+    return upper.select(F.inline(F.when(F.col("x") == F.col("y"), F.slice(both, 1, 1)).otherwise(both)))
 
 
 def target_correlation(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
     """(feature, corr) with the target."""
-    rows = [F.struct(F.lit(c).alias("feature"), _corr(c, target).alias("corr")) for c in cols]
+    rows = [F.struct(F.lit(c).alias("feature"), correlation_of(F.col(c), F.col(target)).alias("corr")) for c in cols]
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 

@@ -52,7 +52,7 @@ from mixlab.plans.settings import (
     TOTAL,
     TRAIN_END,
 )
-from mixlab.session import staging_path
+from mixlab.session import stage, staging_path
 from mixlab.sources import files
 from mixlab.sources.retail import hourly_view, retail_view, spend_view, table
 
@@ -153,7 +153,7 @@ def scenarios(spark, d) -> DataFrame:
 
 
 def scenario_rows(spark, d) -> DataFrame:
-    scored = contributions(spark, d)
+    scored = stage(contributions(spark, d))
     rows = bu.simulate_scenarios(scenarios(spark, d), at.median_roi(scored, CHANNELS))
     return bu.append_baseline(rows, bu.mean_baseline(scored))
 
@@ -164,7 +164,7 @@ def features_of(df: DataFrame) -> list[str]:
 
 def boosted(spark, d):
     """Trees fitted on the days before the split, and the panel they belong to."""
-    data = panel(spark, d)
+    data = stage(panel(spark, d))
     train, _ = pa.time_split(data, TRAIN_END)
     return mo.train_gbt(train, features_of(data), max_iter=10, seed=SEED), data
 
@@ -248,8 +248,10 @@ def _write_metrics_json(spark, d):
 )
 def _load_results(spark, d):
     folder = staging_path(spark, "results")
-    scored = contributions(spark, d)
-    files.save_results(scored, allocation(spark, d), _metrics(spark, d), folder)
+    data = stage(panel(spark, d))
+    scored = at.contributions(data, SCORER, CHANNELS)
+    budget = bu.allocate_budget(at.median_roi(scored, CHANNELS), TOTAL, MIN_PCT, MAX_PCT)
+    files.save_results(scored, budget, mo.evaluate(SCORER.predict(data)), folder)
     daily, budget, metrics = files.load_results(spark, folder, CHANNELS)
     return daily.select(
         "date",
@@ -411,7 +413,7 @@ def _iqr_sql(source: str, col: str, t: float, keys: str = "") -> str:
 )
 def _iqr_outliers(spark, d):
     amounts = lines(spark, d, "InvoiceNo", "StockCode", "TotalAmount")
-    amounts = amounts.withColumn("TotalAmount", F.col("TotalAmount").cast("double"))
+    amounts = stage(amounts.withColumn("TotalAmount", F.col("TotalAmount").cast("double")))
     return pr.iqr_outliers(amounts, "TotalAmount", threshold=0.5)
 
 
@@ -678,7 +680,7 @@ def _quartiles(spark, d):
     ),
 )
 def _quartiles_by_channel(spark, d):
-    return rounded(pf.quartiles(lines(spark, d, "channel", "TotalAmount"), "TotalAmount", ["channel"]), 6)
+    return rounded(pf.quartiles(stage(lines(spark, d, "channel", "TotalAmount")), "TotalAmount", ["channel"]), 6)
 
 
 def _fill_sql(fn: str) -> str:
@@ -837,25 +839,27 @@ def _interpolate(spark, d):
     return rounded(pr.fill_missing(country_wide(spark, d), "interpolate", CHANNELS, ["Country"]), 6)
 
 
+# Exact decimals times short weights often end in 5, where engines round differently. Both
+# sides add the same doubles in the same order, so these two are compared unrounded.
 _LONG_WINDOW = "(PARTITION BY channel ORDER BY date)"
 
 
 @query(
     "adstock_geometric",
-    build(f"SELECT date, channel, round({adstock_sql('spend', geometric_weights(), _LONG_WINDOW)}, 8) AS adstock FROM spend", "spend"),
+    build(f"SELECT date, channel, {adstock_sql('spend', geometric_weights(), _LONG_WINDOW)} AS adstock FROM spend", "spend"),
 )
 def _adstock_geometric(spark, d):
     carried = adstock(spend_view(spark, d), "spend", geometric_weights(), ["channel"])
-    return rounded(carried.select("date", "channel", "adstock"), 8)
+    return carried.select("date", "channel", "adstock")
 
 
 @query(
     "adstock_weibull",
-    build(f"SELECT date, channel, round({adstock_sql('spend', weibull_weights(), _LONG_WINDOW)}, 8) AS adstock FROM spend", "spend"),
+    build(f"SELECT date, channel, {adstock_sql('spend', weibull_weights(), _LONG_WINDOW)} AS adstock FROM spend", "spend"),
 )
 def _adstock_weibull(spark, d):
     carried = adstock(spend_view(spark, d), "spend", weibull_weights(), ["channel"])
-    return rounded(carried.select("date", "channel", "adstock"), 8)
+    return carried.select("date", "channel", "adstock")
 
 
 @query(
@@ -1185,7 +1189,7 @@ def _train_linear(spark, d):
 
 @query("train_linear_all_features")
 def _train_linear_all(spark, d):
-    data = panel(spark, d)
+    data = stage(panel(spark, d))
     train, test = pa.time_split(data, TRAIN_END)
     names = ["transactions", *ADSTOCKS, *_EXT, *_CYCLIC]
     return mo.evaluate(mo.train_linear(train, names).predict(test))
@@ -1416,7 +1420,7 @@ def _report_top_features(spark, d):
     ),
 )
 def _report_findings(spark, d):
-    return rounded(rp.report_findings(contributions(spark, d), CHANNELS), 6)
+    return rounded(rp.report_findings(stage(contributions(spark, d)), CHANNELS), 6)
 
 
 @query("contributions_over_time", build("SELECT date, channel, round(contribution, 6) AS contribution FROM long", "long"))

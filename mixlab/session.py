@@ -35,14 +35,16 @@ def shared_dir(spark: SparkSession) -> str:
     be lost with its node, so there the setting is required.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(folder)
+        return folder
+    if not context.getCheckpointDir():
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="mixlab-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return folder
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="mixlab-"))
+    return context.getCheckpointDir()
 
 
 def staging_path(spark: SparkSession, name: str) -> str:

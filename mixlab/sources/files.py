@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TRANSACTIONS = (
     "InvoiceNo STRING, StockCode STRING, Description STRING, Quantity INT, "
@@ -62,11 +61,10 @@ def preview_rows(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite Parquet. With ``partition_by``, rows are first spread by those columns plus
-    a hash of the row, so one hot partition value is written by several tasks."""
+    """Overwrite Parquet. With ``partition_by``, adaptive execution gathers the rows of a
+    partition value into few files and splits a hot value over several tasks by size."""
     if partition_by:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-        df = df.repartition(*partition_by, spread)
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
