@@ -48,13 +48,11 @@ def carry_over(col: Column, weights: Sequence[float], window: WindowSpec) -> Col
     Every lag shares the same window, so any number of channels costs one
     exchange, one sort and one Window node.
     """
-    total = None
+    value = F.coalesce(col.cast("double"), F.lit(0.0))
+    total = value * float(weights[0])
     for lag, weight in enumerate(weights):
-        if lag and weight == 0.0:
-            continue
-        value = F.lag(col, lag).over(window) if lag else col
-        term = F.coalesce(value.cast("double"), F.lit(0.0)) * F.lit(float(weight))
-        total = term if total is None else total + term
+        if lag and weight:
+            total = total + F.lag(value, lag, 0.0).over(window) * float(weight)
     return total
 
 

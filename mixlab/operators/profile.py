@@ -184,13 +184,15 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     folded at once by a partial aggregate, so the shuffle carries one row per
     pair and task, and the code stays small however many columns there are.
     """
-    values = {c: F.col(c).cast("double") for c in cols}
-    pairs = [
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), values[x].alias("_a"), values[y].alias("_b"))
-        for i, x in enumerate(cols)
-        for y in cols[i:]
-    ]
-    upper = df.select(F.inline(F.array(*pairs))).groupBy("x", "y").agg(correlation_of(F.col("_a"), F.col("_b")).alias("corr"))
+    name = F.array(*[F.lit(c) for c in cols])
+    upper = (
+        df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("_v"))
+        .select("_v", F.posexplode("_v").alias("_i", "_a"))
+        .select("_i", "_a", F.posexplode(F.slice("_v", F.col("_i") + 1, len(cols))).alias("_j", "_b"))
+        .groupBy("_i", "_j")
+        .agg(correlation_of(F.col("_a"), F.col("_b")).alias("corr"))
+        .select(F.get(name, "_i").alias("x"), F.get(name, F.col("_i") + F.col("_j")).alias("y"), "corr")
+    )
     swapped = F.struct(F.col("y").alias("x"), F.col("x").alias("y"), "corr")
     both = F.array(F.struct("x", "y", "corr"), swapped)
     return upper.select(F.inline(F.when(F.col("x") == F.col("y"), F.slice(both, 1, 1)).otherwise(both)))

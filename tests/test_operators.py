@@ -619,3 +619,29 @@ def test_whole_run(spark, trees):
         assert "transactions" not in names and "tv_adstock" in names
     findings = rp.report_findings(out.contributions, CHANNELS).first()
     assert len(findings["best"].split(", ")) == len(findings["worst"].split(", ")) == 3
+
+
+def test_loaders_apply_the_settings(spark, tmp_path):
+    from mixlab.sources import loaders
+
+    lines = (
+        "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+        "1,A,Cup,2,2010-12-01 08:26:00,1.5,7,UK\n"
+        "2,B,Mug,-1,2010-12-01 09:00:00,2.0,,UK\n"
+        "3,C,Pot,4,2010-12-02 23:59:00,2.5,8,FR\n"
+        "4,C,Pot,4,2010-12-03 00:00:00,2.5,8,FR\n"
+    )
+    path = tmp_path / "retail.csv"
+    path.write_text(lines)
+    config = MixConfig(include_returns=False, start_date="2010-12-01", end_date="2010-12-02")
+    rows = loaders.load_retail(spark, str(path), config).orderBy("InvoiceNo").collect()
+    assert [(r["InvoiceNo"], r["TotalAmount"], r["InvoiceTs"].hour) for r in rows] == [("1", 3.0, 8), ("3", 10.0, 23)]
+    assert loaders.load_retail(spark, str(path)).count() == 4
+
+    spend = tmp_path / "spend.csv"
+    spend.write_text("date,channel,spend\n2010-12-01,tv,5\n2011-01-01,tv,6\n")
+    assert loaders.load_marketing(spark, str(spend), config).count() == 1
+    sales = tmp_path / "sales.csv"
+    sales.write_text("date,revenue\n2010-12-02,5.5\n")
+    assert loaders.load_sales(spark, str(sales), config).first()["revenue"] == 5.5
+    assert loaders.load_external(spark, str(tmp_path / "none.csv")).count() == 0
