@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from mixlab.operators.facts import attach
+
 _DOUBLE = "double"
 
 
@@ -136,10 +138,11 @@ def simulate_scenarios(scenarios: DataFrame, roi: DataFrame) -> DataFrame:
     per_scenario = W.partitionBy("scenario")
     sum_pct = F.sum("allocation_pct").over(per_scenario)
     pct = F.when(sum_pct > 0, F.col("allocation_pct") * (F.lit(100.0) / sum_pct)).otherwise(F.col("allocation_pct"))
+    weighed = scenarios.withColumn("budget_pct", pct.cast(_DOUBLE)).withColumn(
+        "budget", F.col("budget_pct") / 100 * F.col("total_budget")
+    )
     return (
-        scenarios.withColumn("budget_pct", pct.cast(_DOUBLE))
-        .withColumn("budget", F.col("budget_pct") / 100 * F.col("total_budget"))
-        .join(roi.select("channel", "roi"), "channel", "left")
+        attach(weighed, roi.select("channel", "roi"), ["channel"])
         .withColumn("roi", F.coalesce("roi", F.lit(0.0)))
         .select(
             "scenario", "channel", "budget", "budget_pct", "roi",

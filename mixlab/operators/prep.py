@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, NumericType
 
+from mixlab.operators.facts import attach
 from mixlab.operators.quantiles import quantile_columns
 
 
@@ -62,14 +63,6 @@ def numeric_columns(df: DataFrame, all_numeric: bool = False) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
 
 
-def attach(df: DataFrame, facts: DataFrame, id_cols: Sequence[str]) -> DataFrame:
-    """Add per-id facts to the rows; without ids the facts are one row of scalars."""
-    if id_cols:
-        return df.join(facts, list(id_cols), "left")
-    packed = facts.select(F.struct(*facts.columns)).scalar()
-    return df.withColumn("_facts", packed).select(*df.columns, "_facts.*")
-
-
 def _iqr_limits(df, col, threshold, id_cols, exact, bounded) -> DataFrame:
     limits = quantile_columns(df, [col], {"q1": 0.25, "q3": 0.75}, id_cols, exact, bounded)
     q1, q3 = F.col(f"{col}_q1"), F.col(f"{col}_q3")
@@ -88,7 +81,7 @@ def iqr_outliers(
     """Rows with ``col`` inside [q1 - t*iqr, q3 + t*iqr]; NULL rows go, as in a comparison."""
     limits = _iqr_limits(df, col, threshold, id_cols, exact, bounded)
     return (
-        attach(df, limits, id_cols)
+        attach(df, limits, id_cols, bounded)
         .filter(F.col(col).cast("double").between(F.col("_lower"), F.col("_upper")))
         .drop("_lower", "_upper")
     )
@@ -106,7 +99,7 @@ def outlier_counts(
     limits = _iqr_limits(df, col, threshold, id_cols, exact, bounded)
     inside = F.col(col).cast("double").between(F.col("_lower"), F.col("_upper"))
     return (
-        attach(df, limits, id_cols)
+        attach(df, limits, id_cols, bounded)
         .groupBy(*id_cols)
         .agg(F.count("*").alias("n_rows"), F.count_if(inside).alias("n_kept"))
         .withColumn("n_removed", F.col("n_rows") - F.col("n_kept"))
@@ -135,7 +128,7 @@ def fill_missing(
     else:
         return df
     filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_fill_{c}")) for c in cols}
-    return attach(df, facts, id_cols).withColumns(filled).select(*df.columns)
+    return attach(df, facts, id_cols, bounded).withColumns(filled).select(*df.columns)
 
 
 def interpolate(
@@ -160,7 +153,9 @@ def interpolate(
     )
 
 
-def standardize(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str] = ()) -> DataFrame:
+def standardize(
+    df: DataFrame, cols: Sequence[str], id_cols: Sequence[str] = (), bounded: bool = False
+) -> DataFrame:
     """(x - mean) / sample deviation per id; a constant column becomes NULL."""
     facts = df.groupBy(*id_cols).agg(
         *[F.avg(F.col(c).cast("double")).alias(f"_avg_{c}") for c in cols],
@@ -170,4 +165,4 @@ def standardize(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str] = ())
         c: F.try_divide(F.col(c).cast("double") - F.col(f"_avg_{c}"), F.nullif(F.col(f"_std_{c}"), F.lit(0.0)))
         for c in cols
     }
-    return attach(df, facts, id_cols).withColumns(scaled).select(*df.columns)
+    return attach(df, facts, id_cols, bounded).withColumns(scaled).select(*df.columns)

@@ -10,7 +10,8 @@ route shuffles counters only:
    counted per slice, which tells the slice that holds each rank;
 3. only the distinct values of those slices are ordered.
 
-The answer is exact whatever the sketch error: edges and slices only decide how
+The first two results are small and written out, so each pass reads the values
+once and starts from counted facts. The answer is exact whatever the sketch error: edges and slices only decide how
 much work is left, and the counts decide where the rank lies.
 """
 
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from mixlab.operators.facts import join_facts, sized
+
 _ACCURACY = 10_000
 _MARGIN = 2.5 / _ACCURACY
 _SLICES = 1024
@@ -37,12 +40,6 @@ def _long(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str]) -> DataFra
     return long.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
 
-def _link(df: DataFrame, small: DataFrame, keys: Sequence[str], few: bool) -> DataFrame:
-    """Join per-group facts to the rows. Only without ids is the fact side known to be
-    small (one group per listed column); otherwise adaptive execution measures it."""
-    return df.join(F.broadcast(small) if few else small, list(keys))
-
-
 def _before(keys: Sequence[str], order: str) -> Column:
     """How many values lie in earlier steps of the same group."""
     running = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
@@ -80,14 +77,19 @@ def exact_quantiles(
             F.expr(f"percentile(_v, array({levels}))").alias("quantiles")
         ).withColumnRenamed("_c", "column")
 
-    few = not ids
     splits = sorted({min(1.0, max(0.0, p + s)) for p in probs for s in (-_MARGIN, _MARGIN)})
-    sketch = long.groupBy(*keys).agg(
-        F.concat(
-            F.array(F.min("_v")), F.percentile_approx("_v", splits, _ACCURACY), F.array(F.max("_v"))
-        ).alias("_edges")
+    sketch, few = sized(
+        long.groupBy(*keys).agg(
+            F.concat(
+                F.array(F.min("_v")), F.percentile_approx("_v", splits, _ACCURACY), F.array(F.max("_v"))
+            ).alias("_edges")
+        )
     )
-    sliced = _link(long, sketch, keys, few).select(*keys, "_v", _slice(len(splits) + 2).alias("_s"))
+    if ids or len(cols) > 1:
+        edged = join_facts(long, sketch, keys, few)
+    else:
+        edged = long.withColumn("_edges", sketch.select("_edges").scalar())
+    sliced = edged.select(*keys, "_v", _slice(len(splits) + 2).alias("_s"))
     counts = sliced.groupBy(*keys, "_s").agg(F.count("*").alias("_n")).withColumns(
         {"_b": _before(keys, "_s"), "_last": F.sum("_n").over(W.partitionBy(*keys)) - 1}
     )
@@ -101,7 +103,7 @@ def exact_quantiles(
         return (high >= F.col("_b")) & (low < F.col("_b") + F.col("_n"))
 
     ranks = F.array(*[rank(i, p) for i, p in enumerate(probs)])
-    targets = (
+    targets, few = sized(
         counts.withColumn("_t", F.filter(ranks, held))
         .filter(F.size("_t") > 0)
         .select(*keys, "_s", "_t", F.col("_b").alias("_base"))
@@ -109,7 +111,7 @@ def exact_quantiles(
 
     slice_keys = [*keys, "_s"]
     values = (
-        _link(sliced, targets, slice_keys, few)
+        join_facts(sliced, targets, slice_keys, few)
         .groupBy(*slice_keys, "_v")
         .agg(F.count("*").alias("_n"), F.first("_t").alias("_t"), F.first("_base").alias("_base"))
         .withColumn("_b", F.col("_base") + _before(slice_keys, "_v"))

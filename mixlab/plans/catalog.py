@@ -694,7 +694,7 @@ def _fill_sql(fn: str) -> str:
 
 @query("fill_mean", _fill_sql("avg"))
 def _fill_mean(spark, d):
-    return rounded(pr.fill_missing(country_wide(spark, d), "mean", CHANNELS, ["Country"]), 6)
+    return rounded(pr.fill_missing(country_wide(spark, d), "mean", CHANNELS, ["Country"], bounded=True), 6)
 
 
 @query("fill_median", _fill_sql("median"))
@@ -1035,7 +1035,7 @@ def _promo_calendar(spark, d):
 )
 def _standardize(spark, d):
     rows = country_sales(spark, d).select("Country", "date", "revenue", "transactions")
-    return rounded(pr.standardize(rows, ["revenue", "transactions"], ["Country"]), 8)
+    return rounded(pr.standardize(rows, ["revenue", "transactions"], ["Country"], bounded=True), 8)
 
 
 # ---- simulation ------------------------------------------------------------

@@ -52,11 +52,13 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/mixlab-{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage and cut its lineage.
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it from there.
 
-    For frames that several jobs read again (model fitting, repeated quantile
-    passes): a lost executor then costs a re-read, not the joins below.
+    For frames that several jobs read again (model fitting, quantile passes): a
+    lost executor then costs a re-read, not the joins below, and each later pass
+    reads only the columns it needs.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
