@@ -124,7 +124,8 @@ def total_budget(budget: DataFrame) -> DataFrame:
 def default_allocation(budget: DataFrame, channels: Sequence[str]) -> DataFrame:
     """(channel, allocation_pct) of every listed channel: its budget share, else 100 / n."""
     n = len(channels)
-    listed = budget.sparkSession.createDataFrame([(c,) for c in channels], "channel STRING")
+    names = F.array(*[F.lit(c) for c in channels])
+    listed = budget.sparkSession.range(1).select(F.explode(names).alias("channel"))
     share = F.coalesce(F.col("budget_pct"), F.lit(100.0 / n)).alias("allocation_pct")
     return listed.join(budget.select("channel", "budget_pct"), "channel", "left").select("channel", share)
 

@@ -1,9 +1,9 @@
 """Exact quantiles, with no task that holds a whole group.
 
 The built-in exact percentile keeps a map of every distinct value of a group in
-one task. That is fine for daily series (``bounded=True``: one row per date, so
-a group is no longer than the calendar) and fails on invoice lines. The other
-route shuffles counters only:
+one task. That is fine for daily series (``bounded=True`` in ``quantile_columns``:
+one row per date, so a group is no longer than the calendar) and fails on invoice
+lines. ``exact_quantiles`` shuffles counters only:
 
 1. a mergeable sketch per group gives value edges around every requested rank;
 2. the ranges between the edges are cut into equal-width slices, and rows are
@@ -65,18 +65,14 @@ def exact_quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     id_cols: Sequence[str] = (),
-    bounded: bool = False,
 ) -> DataFrame:
-    """(ids, column, quantiles): linearly interpolated quantiles in the order of ``probs``."""
+    """(ids, column, quantiles): linearly interpolated quantiles in the order of ``probs``.
+
+    A group without any value has no row.
+    """
     ids = list(id_cols)
     long = _long(df, cols, ids)
     keys = [*ids, "_c"]
-    if bounded:
-        levels = ", ".join(f"{p}D" for p in probs)
-        return long.groupBy(*keys).agg(
-            F.expr(f"percentile(_v, array({levels}))").alias("quantiles")
-        ).withColumnRenamed("_c", "column")
-
     splits = sorted({min(1.0, max(0.0, p + s)) for p in probs for s in (-_MARGIN, _MARGIN)})
     sketch, few = sized(
         long.groupBy(*keys).agg(
@@ -137,21 +133,20 @@ def quantile_columns(
     bounded: bool = False,
 ) -> DataFrame:
     """One row per id with a column ``{col}_{name}`` per column and named probability."""
-    ids = list(id_cols)
-    names = list(probs)
-    if not exact:
-        levels = list(probs.values())
-        return df.groupBy(*ids).agg(
-            *[F.percentile_approx(F.col(c).cast("double"), levels, _ACCURACY).alias(f"_q_{c}") for c in cols]
-        ).select(
-            *ids,
-            *[F.get(f"_q_{c}", F.lit(i)).alias(f"{c}_{n}") for c in cols for i, n in enumerate(names)],
+    ids, names, levels = list(id_cols), list(probs), list(probs.values())
+    if exact and not bounded:
+        found = exact_quantiles(df, cols, levels, ids)
+        return found.groupBy(*ids).agg(
+            *[
+                F.max(F.when(F.col("column") == c, F.get("quantiles", F.lit(i)))).alias(f"{c}_{n}")
+                for c in cols
+                for i, n in enumerate(names)
+            ]
         )
-    found = exact_quantiles(df, cols, list(probs.values()), ids, bounded)
-    return found.groupBy(*ids).agg(
-        *[
-            F.max(F.when(F.col("column") == c, F.get("quantiles", F.lit(i)))).alias(f"{c}_{n}")
-            for c in cols
-            for i, n in enumerate(names)
-        ]
-    )
+    aggregates = []
+    for c in cols:
+        value = F.col(c).cast("double")
+        value = F.when(~F.isnan(value), value)
+        found = F.percentile(value, levels) if exact else F.percentile_approx(value, levels, _ACCURACY)
+        aggregates += [F.get(found, F.lit(i)).alias(f"{c}_{n}") for i, n in enumerate(names)]
+    return df.groupBy(*ids).agg(*aggregates)

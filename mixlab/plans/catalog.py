@@ -406,10 +406,10 @@ def _iqr_sql(source: str, col: str, t: float, keys: str = "") -> str:
 @query(
     "iqr_outliers",
     build(
-        "SELECT InvoiceNo, StockCode, amount AS TotalAmount FROM " + _iqr_sql("amounts", "amount", 0.5),
+        "SELECT InvoiceNo, StockCode, TotalAmount FROM " + _iqr_sql("amounts", "TotalAmount", 0.5),
         "retail",
-    ).replace("\nSELECT InvoiceNo, StockCode, amount", ",\namounts AS (SELECT InvoiceNo, StockCode, "
-              "CAST(TotalAmount AS DOUBLE) AS amount FROM retail)\nSELECT InvoiceNo, StockCode, amount", 1),
+        amounts="SELECT InvoiceNo, StockCode, CAST(TotalAmount AS DOUBLE) AS TotalAmount FROM retail",
+    ),
 )
 def _iqr_outliers(spark, d):
     amounts = lines(spark, d, "InvoiceNo", "StockCode", "TotalAmount")
@@ -712,14 +712,10 @@ def _corr_sql(x: str, y: str) -> str:
 @query(
     "correlation_matrix",
     build(
-        "SELECT x, y, CASE WHEN isnan(corr(vx, vy)) THEN NULL ELSE round(corr(vx, vy), 8) END AS corr FROM "
-        "(SELECT a.x, b.y, a.date, a.v AS vx, b.v AS vy FROM u a JOIN (SELECT x AS y, date, v FROM u) b ON a.date = b.date) GROUP BY 1, 2",
+        "SELECT a.name AS x, b.name AS y, CASE WHEN isnan(corr(a.v, b.v)) THEN NULL ELSE round(corr(a.v, b.v), 8) END AS corr "
+        "FROM cells a JOIN cells b ON a.date = b.date GROUP BY 1, 2",
         "panel",
-    ).replace(
-        "\nSELECT x, y,",
-        ",\nu AS (" + " UNION ALL ".join(f"SELECT date, '{c}' AS x, CAST({c} AS DOUBLE) AS v FROM panel" for c in _CORRELATED)
-        + ")\nSELECT x, y,",
-        1,
+        cells=" UNION ALL ".join(f"SELECT date, '{c}' AS name, CAST({c} AS DOUBLE) AS v FROM panel" for c in _CORRELATED),
     ),
 )
 def _correlation_matrix(spark, d):
@@ -1175,16 +1171,17 @@ def _train_gbt(spark, d):
     "train_linear",
     build(
         " UNION ALL ".join(
-            f"SELECT '{a}' AS feature, round(regr_slope(revenue, {a}), 6) AS slope, "
-            f"round(regr_intercept(revenue, {a}), 6) AS intercept, round(regr_r2(revenue, {a}), 8) AS r2 FROM panel"
+            f"SELECT '{a}' AS feature, round(regr_slope(revenue, {a}), 3) AS slope, "
+            f"round(regr_intercept(revenue, {a}), 3) AS intercept, round(regr_r2(revenue, {a}), 8) AS r2 FROM panel"
             for a in ADSTOCKS
         ),
         "panel",
     ),
 )
 def _train_linear(spark, d):
+    # Slopes reach 1e7 on nearly saturated channels, so three places are eleven digits.
     fits = mo.simple_linear(panel(spark, d), ADSTOCKS)
-    return rounded(rounded(fits, 6, "slope", "intercept"), 8, "r2")
+    return rounded(rounded(fits, 3, "slope", "intercept"), 8, "r2")
 
 
 @query("train_linear_all_features")

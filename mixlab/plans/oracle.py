@@ -224,8 +224,8 @@ SHORT_CALENDAR = calendar_sql(SHORT_PI, True)
 FULL_CALENDAR = calendar_sql(math.pi, False)
 
 
-def build(sql: str, *names: str) -> str:
-    """``sql`` preceded by the named steps and all they rest on."""
+def build(sql: str, *names: str, **own: str) -> str:
+    """``sql`` preceded by the named steps, all they rest on, and its own steps."""
     order: list[str] = []
 
     def visit(name: str) -> None:
@@ -236,10 +236,8 @@ def build(sql: str, *names: str) -> str:
 
     for name in names:
         visit(name)
-    if not order:
-        return sql
-    steps = ",\n".join(f"{n} AS ({STEPS[n][1]})" for n in order)
-    return f"WITH RECURSIVE {steps}\n{sql}"
+    steps = [f"{n} AS ({STEPS[n][1]})" for n in order] + [f"{n} AS ({body})" for n, body in own.items()]
+    return "WITH RECURSIVE " + ",\n".join(steps) + f"\n{sql}" if steps else sql
 
 
 def rounds(columns, places: int) -> str:
