@@ -82,12 +82,12 @@ def rounded(df: DataFrame, places: int, *cols: str) -> DataFrame:
 # ---- shared inputs ---------------------------------------------------------
 
 
-def lines(spark, d, *cols: str) -> DataFrame:
+def lines(spark, d, *cols: str, between: tuple[str, str] | None = None) -> DataFrame:
     """Invoice lines with ``cols``; TotalAmount on request."""
     if "TotalAmount" not in cols:
-        return retail_view(spark, d, cols)
+        return retail_view(spark, d, cols, between)
     base = dict.fromkeys([*[c for c in cols if c != "TotalAmount"], "Quantity", "UnitPrice"])
-    return pr.line_amount(retail_view(spark, d, base)).select(*cols)
+    return pr.line_amount(retail_view(spark, d, base, between)).select(*cols)
 
 
 SALES_COLUMNS = ("InvoiceDate", "InvoiceNo", "CustomerID", "TotalAmount")
@@ -364,8 +364,15 @@ def _exclude_returns(spark, d):
     build(f"SELECT * FROM sales WHERE date BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'", "sales"),
 )
 def _date_range(spark, d):
-    kept = pr.date_range(lines(spark, d, *SALES_COLUMNS), *RANGE, col="InvoiceDate")
-    return pf.daily_sales(kept)
+    return pf.daily_sales(lines(spark, d, *SALES_COLUMNS, between=RANGE))
+
+
+@query(
+    "date_range_operator",
+    build(f"SELECT * FROM country_sales WHERE date BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'", "country_sales"),
+)
+def _date_range_operator(spark, d):
+    return pr.date_range(country_sales(spark, d), *RANGE)
 
 
 @query(
