@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from mixlab.llm.exact_dedup import exact_dedup
 from mixlab.llm.mixing import mix
+from mixlab.llm.packing import pack
 from mixlab.llm.sharding import shard
+from mixlab.llm.token_counts import token_counts
 from mixlab.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +124,13 @@ def op8_mixing(spark, d) -> DataFrame:
 )
 def op10_warc(spark, d) -> DataFrame:
     return archive_round_trip(table(spark, d, "pages"))
+
+
+@query("op7_packing")
+def op7_packing(spark, d) -> DataFrame:
+    return pack(table(spark, d, "documents"))
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark, d) -> DataFrame:
+    return token_counts(table(spark, d, "documents"))
