@@ -15,7 +15,8 @@ _ROW = 1 << 15
 
 
 def slot(value: Column, bits: int = BITS) -> Column:
-    return F.pmod(value, F.lit(1 << bits).cast("long"))
+    """From 1, as the built-in bitmap functions count."""
+    return F.pmod(value, F.lit(1 << bits).cast("long")) + 1
 
 
 def bitmap(df: DataFrame, value: Column, bits: int = BITS) -> DataFrame:

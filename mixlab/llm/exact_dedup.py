@@ -56,7 +56,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     order = F.struct((-F.col("_points")).alias("p"), F.col("_id").isNull().alias("n"), F.col("_id").alias("i"))
     again = found.where("_again")
-    groups = again.groupBy("digest").agg(F.min(order).alias("_best"), F.count("*").alias("group_size"))
+    groups = stage(again.groupBy("digest").agg(F.min(order).alias("_best"), F.count("*").alias("group_size")), "groups")
     keep = F.col("_best.i")
     members = again.join(groups, "digest").select(
         F.col("_id").alias(id_col),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mixlab.llm.exact_dedup import exact_dedup
 from mixlab.llm.mixing import mix
+from mixlab.llm.ngram_join import ngram_components
 from mixlab.llm.packing import pack
 from mixlab.llm.sharding import shard
 from mixlab.llm.token_counts import token_counts
@@ -134,3 +135,8 @@ def op7_packing(spark, d) -> DataFrame:
 @query("op9_token_counts")
 def op9_token_counts(spark, d) -> DataFrame:
     return token_counts(table(spark, d, "documents"))
+
+
+@query("op1_ngram_jaccard")
+def op1_ngram_jaccard(spark, d) -> DataFrame:
+    return ngram_components(table(spark, d, "documents"))

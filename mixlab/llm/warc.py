@@ -243,7 +243,7 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_PAYLOAD, id_c
     )
     packed = stage(source.mapInArrow(compress, "page_id long, url string, payload_bytes long, digest string, frame binary"), "frames")
     chosen = packed.where(F.col("payload_bytes") >= least).groupBy("digest", "payload_bytes").agg(F.max("page_id").alias("response"), F.count("*").alias("_n"))
-    chosen = chosen.where("_n > 1").select(F.col("digest").alias("_digest"), F.col("payload_bytes").alias("_bytes"), "response")
+    chosen = stage(chosen.where("_n > 1").select(F.col("digest").alias("_digest"), F.col("payload_bytes").alias("_bytes"), "response"), "chosen")
     joined = packed.join(chosen, (F.col("digest") == F.col("_digest")) & (F.col("payload_bytes") == F.col("_bytes")), "left")
     sealed = joined.select("page_id", "url", "frame", "response").mapInArrow(seal, "frame binary")
     # The sink writes a string's bytes as they are, and an empty skippable frame after each.
