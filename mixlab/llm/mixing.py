@@ -45,13 +45,14 @@ def sampling_key(doc_id: Column, weight: Column, seed: int) -> Column:
     return -F.log(uniform) / weight
 
 
-def mix(docs: DataFrame, weight: Column | None = None, seed: int = 7, epochs: int = EPOCHS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights: DataFrame | None = None, seed: int = 7, epochs: int = EPOCHS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Per row: id, source, size, source_size, target, taken.
 
     Every document is taken as often as whole epochs of its source fit the target; the
     rest of the target goes to the documents with the smallest exponential keys, as long
     as the running sum comes nearer to it, so a source ends within half the size of its
-    last document. ``weight`` is the document's quality weight (positive; null is 1).
+    last document. ``weights`` are rows (id, weight), one per id: the documents' quality
+    weights (positive; without a row, or null, it is 1). They meet sizes, not texts.
 
     The running sum is cut at the key's own distribution, 1 - exp(-key), into buckets of
     bounded size, so a source is never sorted in one task. Keys are hashes of ids: reruns
@@ -59,16 +60,16 @@ def mix(docs: DataFrame, weight: Column | None = None, seed: int = 7, epochs: in
     source is a source, after the others; rows that repeat an id count as rows with equal
     keys, ordered by size. An empty table gives an empty result.
     """
-    weight = F.lit(1.0) if weight is None else F.coalesce(weight.cast("double"), F.lit(1.0))
-    rows = stage(
-        docs.select(
-            F.col(id_col).alias("_id"),
-            F.col(source_col).alias("source"),
-            F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            sampling_key(F.col(id_col), weight, seed).alias("_key"),
-        ),
-        "mix",
+    rows = docs.select(
+        F.col(id_col).alias("_id"),
+        F.col(source_col).alias("source"),
+        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
+    weight = F.lit(1.0)
+    if weights is not None:
+        rows = rows.join(weights.toDF("_weighted", "_weight"), F.col("_id") == F.col("_weighted"), "left")
+        weight = F.coalesce(F.col("_weight").cast("double"), F.lit(1.0))
+    rows = stage(rows.select("_id", "source", "size", sampling_key(F.col("_id"), weight, seed).alias("_key")), "mix")
     targets = stage(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), epochs), "targets")
     buckets = bucket_count(rows.count())
     rows = rows.withColumn("_part", F.floor((1 - F.exp(-F.col("_key"))) * buckets))

@@ -57,11 +57,9 @@ def op5_exact_dedup(spark, d) -> DataFrame:
     return exact_dedup(table(spark, d, "documents"), digest_all=True).withColumnRenamed("digest", "text_sha256")
 
 
-def quality_weighted(spark, d, docs: DataFrame) -> DataFrame:
-    """The documents with ``_weight``: 2 for labelled good quality, 0.5 for bad, 1 without a label."""
-    labels = table(spark, d, "labels").groupBy(F.col("doc_id").alias("_labelled")).agg(F.max("quality").alias("_quality"))
-    weight = F.when(F.col("_quality") == 1, 2.0).when(F.col("_quality") == 0, 0.5).otherwise(1.0)
-    return docs.join(labels, F.col("doc_id") == F.col("_labelled"), "left").withColumn("_weight", weight).drop("_labelled", "_quality")
+def quality_weights(labels: DataFrame) -> DataFrame:
+    """(doc_id, weight) of labelled documents: 2 for good quality, 0.5 for bad."""
+    return labels.groupBy("doc_id").agg(F.when(F.max("quality") == 1, 2.0).when(F.max("quality") == 0, 0.5).alias("weight"))
 
 
 @query(
@@ -102,8 +100,7 @@ def quality_weighted(spark, d, docs: DataFrame) -> DataFrame:
     """,
 )
 def op8_mixing(spark, d) -> DataFrame:
-    docs = quality_weighted(spark, d, table(spark, d, "documents").select("doc_id", "text", "source"))
-    return mix(docs, F.col("_weight"))
+    return mix(table(spark, d, "documents"), quality_weights(table(spark, d, "labels")))
 
 
 @query(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 5_000
 
 
 def bucket_count(rows: int, per_bucket: int = ROWS_PER_BUCKET) -> int:
