@@ -12,6 +12,7 @@ from mixlab.llm.mixing import mix
 from mixlab.llm.ngram_join import ngram_components
 from mixlab.llm.packing import pack
 from mixlab.llm.sharding import shard
+from mixlab.llm.substring_dedup import remove_repeats
 from mixlab.llm.token_counts import token_counts
 from mixlab.llm.warc import archive_round_trip
 
@@ -137,3 +138,8 @@ def op9_token_counts(spark, d) -> DataFrame:
 @query("op1_ngram_jaccard")
 def op1_ngram_jaccard(spark, d) -> DataFrame:
     return ngram_components(table(spark, d, "documents"))
+
+
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark, d) -> DataFrame:
+    return remove_repeats(table(spark, d, "documents")).drop("kept_text")
