@@ -21,15 +21,18 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixlab.llm import bitmaps
 from mixlab.llm.components import components
-from mixlab.llm.text import Words, chunks, mix, rolling, signed
+from mixlab.llm.text import Words, chunks, mix, rolling, signed, string_buffers
 from mixlab.session import stage
 
 SKETCH_BITS = 1024
+# Stands for a null id while sets are compared.
+NO_ID = (1 << 63) - 1
 BLOCK = 2000
 # The allocation's model: a comparison's cost in index entries, and the share of pairs taken to have half their content in common.
 COMPARE_COST = 0.2
@@ -234,7 +237,7 @@ def _packed(column: pa.Array) -> np.ndarray:
 def similar_sets(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(one row per document: id, n, node), (node, root) of all sets that are linked with another set."""
     n = rule.n
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
 
     def describe(batches):
         for part, grams, cuts, prints in _sets(batches, n):
@@ -277,7 +280,7 @@ def similar_sets(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tup
     sorted_rows = rows.repartition(width, F.shiftright("key", 1)).sortWithinPartitions("key")
     met = stage(sorted_rows.mapInArrow(_meetings, "key long, center long, node long"), "meetings")
 
-    facts = found.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    facts = found.groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     involved = met.select("node").distinct()
     facts = stage(facts.join(involved, "node"), "facts")
     links = _verified(_sifted(met.where("center <> node").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), facts, rule), source, rule)
@@ -288,30 +291,30 @@ def similar_sets(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tup
     named = met.select("key", "node").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_keys = named.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
     open_keys = open_keys.where("low <> high and size > 2").select("key", "size")
-    rest = stage(named.join(open_keys, "key").join(facts, "node").select("key", "size", "node", "root", "n", "sketch"), "open")
+    rest = stage(named.join(open_keys, "key").join(facts, "node").select("key", "size", "node", "rep", "root", "n", "sketch"), "open")
     more = _verified(_open_pairs(rest, rule), source, rule)
     more = stage(more, "links")
     if more.take(1):
         roots = components(links.unionByName(more))
-    return found.select("id", "n", "node"), roots
+    return found.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("id"), "n", "node"), roots
 
 
 def _sifted(pairs: DataFrame, facts: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) whose sizes and sketches allow the threshold."""
     p, q = rule.threshold.numerator, rule.threshold.denominator
-    left = facts.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = facts.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    left = facts.select(F.col("node").alias("a"), F.col("rep").alias("ra"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    right = facts.select(F.col("node").alias("b"), F.col("rep").alias("rb"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
 
     def sift(batches):
         for batch in batches:
             if batch.num_rows:
                 total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
                 near = _far_apart(_packed(batch.column("sa")), _packed(batch.column("sb"))) <= rule.most_apart(total)
-                yield batch.filter(pa.array(near)).select(["a", "b"])
+                yield batch.filter(pa.array(near)).select(["a", "b", "ra", "rb"])
 
     joined = pairs.join(left, "a").join(right, "b")
     joined = joined.where((F.col("na") * q >= F.col("nb") * p) & (F.col("nb") * q >= F.col("na") * p))
-    return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(sift, "a long, b long")
+    return joined.select("a", "b", "ra", "rb", "na", "nb", "sa", "sb").mapInArrow(sift, "a long, b long, ra long, rb long")
 
 
 def _open_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
@@ -327,7 +330,7 @@ def _open_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
     )
 
     def compare(table: pa.Table) -> pa.Table:
-        node, root, size = (table.column(c).to_numpy() for c in ("node", "root", "n"))
+        node, rep, root, size = (table.column(c).to_numpy() for c in ("node", "rep", "root", "n"))
         block, sketch = table.column("_own").to_numpy(), _packed(table.column("sketch"))
         same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
         a, b = [], []
@@ -338,50 +341,68 @@ def _open_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
             common = rule.least_common(total)
             y = y[common <= np.minimum(size[y], size[x])]
             y = y[_far_apart(sketch[y], sketch[x]) <= rule.most_apart(size[y] + size[x])]
-            a.append(np.minimum(node[y], node[x]))
-            b.append(np.maximum(node[y], node[x]))
-        return pa.table({"a": np.concatenate(a).astype(np.int64), "b": np.concatenate(b).astype(np.int64)})
+            first = node[y] < node[x]
+            a.append(np.where(first, y, x))
+            b.append(np.where(first, x, y))
+        a, b = (np.concatenate(v).astype(np.int64) for v in (a, b))
+        return pa.table({"a": node[a], "b": node[b], "ra": rep[a], "rb": rep[b]})
 
-    pairs = dealt.select("key", F.col("_pair.i").alias("i"), F.col("_pair.j").alias("j"), "_own", "node", "root", "n", "sketch")
-    return pairs.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    pairs = dealt.select("key", F.col("_pair.i").alias("i"), F.col("_pair.j").alias("j"), "_own", "node", "rep", "root", "n", "sketch")
+    return pairs.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long, ra long, rb long").distinct()
 
 
 def _verified(pairs: DataFrame, source: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs that reach the threshold, by merging the whole sets."""
+    """The pairs (a, b, their representatives' ids ra, rb) that reach the threshold, by merging the whole sets.
+
+    Only representatives of the pairs' nodes are read out, found by a bitmap of fixed size
+    and then by the join; what moves is their compressed text, which is smaller than the set.
+    """
     pairs = stage(pairs, "pairs")
     if not pairs.take(1):
-        return pairs
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    packed = source.sparkSession.sparkContext.broadcast(bitmaps.to_array(bitmaps.bitmap(nodes, F.col("node"))))
+        return pairs.select("a", "b")
+    wanted = pairs.select(F.explode(F.array(F.struct("a", "ra"), F.struct(F.col("b").alias("a"), F.col("rb").alias("ra")))).alias("w")).select("w.*").distinct()
+    packed = source.sparkSession.sparkContext.broadcast(bitmaps.to_array(bitmaps.bitmap(wanted, F.col("a").bitwiseXOR(F.col("ra")))))
     n = rule.n
 
     def read(batches):
-        for _, grams, cuts, prints in _sets(batches, n):
-            wanted = bitmaps.contains(packed.value, signed(prints))
-            _, one = np.unique(prints, return_index=True)
-            one = one[wanted[one]]
+        coder = zstandard.ZstdCompressor(level=1)
+        for part, grams, cuts, prints in _sets(batches, n):
+            nodes = signed(prints)
+            one = np.flatnonzero(bitmaps.contains(packed.value, nodes ^ part.column(0).to_numpy()))
+            texts = part.column(1).take(pa.array(one))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(prints)[one]), pa.array([grams[cuts[i] : cuts[i + 1]].tobytes() for i in one], pa.binary())], names=["node", "grams"]
+                [pa.array(nodes[one]), part.column(0).take(pa.array(one)), pa.array([coder.compress(t.as_buffer() if t.is_valid else b"") for t in texts], pa.binary())],
+                names=["node", "rep", "content"],
             )
 
-    content = source.select("text").mapInArrow(read, "node long, grams binary").join(nodes, "node", "left_semi")
-    content = stage(content.groupBy("node").agg(F.first("grams").alias("grams")), "grams")
+    content = source.mapInArrow(read, "node long, rep long, content binary")
 
     def merge(batches):
+        coder = zstandard.ZstdDecompressor()
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("ga"), batch.column("gb")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(common >= rule.least_common(len(both)))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-    left = content.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
-    right = content.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ga", "gb")
-    return stage(joined.mapInArrow(merge, "a long, b long"), "verified")
+            keep = np.zeros(batch.num_rows, bool)
+            for low in range(0, batch.num_rows, 64):
+                part = batch.slice(low, 64)
+                texts: dict[int, bytes] = {}
+                ends = [part.column(i).to_pylist() for i in (0, 1)]
+                for nodes, column in zip(ends, (part.column(2), part.column(3))):
+                    for node, packed_text in zip(nodes, column):
+                        if node not in texts:
+                            texts[node] = coder.decompress(packed_text.as_buffer())
+                place = {node: i for i, node in enumerate(texts)}
+                grams, cuts = ngrams(Words(*string_buffers(pa.array(list(texts.values()), pa.large_binary()).view(pa.large_string())), lower=True), n)
+                for i, (x, y) in enumerate(zip(*ends)):
+                    x, y = (grams[cuts[place[v]] : cuts[place[v] + 1]] for v in (x, y))
+                    both = np.concatenate([x, y])
+                    both.sort()
+                    common = int(np.count_nonzero(both[1:] == both[:-1]))
+                    keep[low + i] = common >= rule.least_common(len(both))
+            yield batch.filter(pa.array(keep)).select(["a", "b"])
+
+    left = content.select(F.col("node").alias("a"), F.col("rep").alias("ra"), F.col("content").alias("ca"))
+    right = content.select(F.col("node").alias("b"), F.col("rep").alias("rb"), F.col("content").alias("cb"))
+    joined = pairs.join(left, ["a", "ra"]).join(right, ["b", "rb"]).select("a", "b", "ca", "cb")
+    return stage(joined.mapInArrow(merge, "a long, b long").distinct(), "verified")
 
 
 def ngram_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
