@@ -1,24 +1,68 @@
-"""The training-data pipeline: toxicity, exact copies, near copies, mixing, packing."""
+"""The training-data pipeline: toxic documents go, copies go, sources are mixed, sequences are packed."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mixlab.llm.exact_dedup import drop_copies
+from mixlab.llm.mixing import mix
+from mixlab.llm.ngram_join import drop_near_copies
+from mixlab.llm.packing import pack
+from mixlab.llm.queries import quality_weights, table
+from mixlab.llm.toxicity import toxicity
 from mixlab.session import stage
 
 
-def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score reaches the threshold of their language go; the labels train the classifier.
+
+    Extra columns stay, also if they are called like those of the operator.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = {c: n for c, n in zip(docs.columns, names)}
+    scored = toxicity(docs.toDF(*names), table(spark, sf_dir, "labels").withColumnRenamed("doc_id", at["doc_id"]), at["doc_id"], at["text"], at["lang"])
+    return scored.where(~F.col("rejected")).select(*names).toDF(*docs.columns)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal without white space one stays."""
     return drop_copies(docs)
 
 
-STAGES = [("exact_dedup", exact_copies)]
+def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of documents with a similarity of 0.8 or more on five-word shingles the least id stays."""
+    return drop_near_copies(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as its source's mix takes it, whole; documents taken no time go."""
+    weights = quality_weights(table(spark, sf_dir, "labels"))
+    taken = mix(docs, weights).where("taken > 0").groupBy(F.col("doc_id").alias("_mixed")).agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("_times"))
+    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_mixed")))
+    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return repeated.select(*[repeated[c] for c in docs.columns])
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences of at most 4096 tokens."""
+    return pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_exact_copies),
+    ("ngram_jaccard", drop_similar),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+# A trained classifier and a tokenizer cannot be stated in SQL; tests/llm checks each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and reread as the next one's input."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

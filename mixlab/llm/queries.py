@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mixlab.llm.embedding_dedup import vector_components
 from mixlab.llm.exact_dedup import exact_dedup
 from mixlab.llm.mixing import mix
 from mixlab.llm.ngram_join import ngram_components
@@ -14,6 +15,7 @@ from mixlab.llm.packing import pack
 from mixlab.llm.sharding import shard
 from mixlab.llm.substring_dedup import remove_repeats
 from mixlab.llm.token_counts import token_counts
+from mixlab.llm.toxicity import held_out, toxicity
 from mixlab.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +145,16 @@ def op1_ngram_jaccard(spark, d) -> DataFrame:
 @query("op2_substring_dedup")
 def op2_substring_dedup(spark, d) -> DataFrame:
     return remove_repeats(table(spark, d, "documents")).drop("kept_text")
+
+
+@query("op4_embedding_dedup")
+def op4_embedding_dedup(spark, d) -> DataFrame:
+    return vector_components(table(spark, d, "embeddings"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, d) -> DataFrame:
+    scored = toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "rejected"
+    )

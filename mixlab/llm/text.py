@@ -74,10 +74,12 @@ def string_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.n
 class Words:
     """The words of consecutive documents: byte spans, and ``first[i]:first[i + 1]`` for document i."""
 
+    separators = ~_IS_WORD
+
     def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> None:
         self.data = _LOWER[data] if lower else data
         self.offsets = offsets
-        word = _IS_WORD[data]
+        word = ~self.separators[data]
         before = np.zeros(len(data), bool)
         before[1:] = word[:-1]
         edges = offsets[:-1]
