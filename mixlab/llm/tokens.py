@@ -47,8 +47,8 @@ class WordEncoder:
 
     def clear(self) -> None:
         self.at: dict[int, int] = {}
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.start, self.length = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int32)
+        self.ids, self.used = np.zeros(1 << 10, np.uint32), 0
+        self.start, self.length = np.zeros(1 << 8, np.int64), np.zeros(1 << 8, np.int32)
 
     def _encode(self, words: list[str]) -> list[np.ndarray]:
         """Ids of each word: long joined runs for ordinary words, singly those that hold the mark."""
@@ -103,8 +103,9 @@ class WordEncoder:
 
     def counts(self, words: Words) -> np.ndarray:
         """Number of ids of each document."""
-        sums = np.zeros(len(words.starts) + 1, np.int64)
-        np.cumsum(self.length[self.places(words)], out=sums[1:])
+        places = self.places(words)
+        sums = np.zeros(len(places) + 1, np.int64)
+        np.cumsum(self.length[places], out=sums[1:])
         return np.diff(sums[words.first])
 
     def documents(self, words: Words) -> Iterator[np.ndarray]:

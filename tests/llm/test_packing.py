@@ -75,6 +75,8 @@ def test_word_ids_are_text_ids(whole, corpus):
     words = Words(*string_buffers(pa.array(texts, pa.string())))
     assert [d.tolist() for d in coder.documents(words)] == [whole(t) for t in texts]
     assert coder.counts(words).tolist() == [len(whole(t)) for t in texts]
+    fresh = WordEncoder(tokenizer_path())
+    assert fresh.counts(words).tolist() == [len(whole(t)) for t in texts]
 
 
 def check(rows, source, whole, capacity):
