@@ -57,9 +57,16 @@ def carry_over(col: Column, weights: Sequence[float], window: WindowSpec) -> Col
 
 
 def saturate(col: Column, kind: str = "hill", k: float | Column = 0.5, S: float | Column = 10000) -> Column:
-    """Diminishing returns: hill, exp or logistic; any other kind leaves ``col`` as is."""
+    """Diminishing returns: hill, exp or logistic; any other kind leaves ``col`` as is.
+
+    ``k`` and ``S`` of hill and exp must be positive. Spend below 0 counts as 0 there.
+    """
+    if kind in ("hill", "exp") and any(not isinstance(v, Column) and v <= 0 for v in (k, S)):
+        raise ValueError(f"{kind} needs k and S above 0")
     k = k if isinstance(k, Column) else F.lit(float(k))
     S = S if isinstance(S, Column) else F.lit(float(S))
+    if kind in ("hill", "exp"):
+        col = F.greatest(col.cast("double"), F.lit(0.0))
     if kind == "hill":
         powered = F.pow(col, k)
         return powered / (powered + F.pow(S, k))

@@ -106,12 +106,12 @@ def mean_contribution(
 
 
 def median_roi(
-    df: DataFrame, channels: Sequence[str], id_cols: Sequence[str] = (), bounded: bool = True
+    df: DataFrame, channels: Sequence[str], id_cols: Sequence[str] = (), bounded: bool = False
 ) -> DataFrame:
     """(ids, channel, roi): median daily ROI, days without spend ignored.
 
-    ``bounded`` says that each group holds one series, one row per date. For a
-    median over many pooled series pass False, which takes the spread-out route.
+    ``bounded`` says that each group holds one series, one row per date, so that one
+    task can hold it; without it the median takes the spread-out route.
     """
     present = [c for c in channels if f"{c}_roi" in df.columns]
     medians = quantile_columns(df, [f"{c}_roi" for c in present], {"median": 0.5}, id_cols, bounded=bounded)

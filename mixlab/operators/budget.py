@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mixlab.operators.facts import attach
 
 _DOUBLE = "double"
 
@@ -143,7 +142,7 @@ def simulate_scenarios(scenarios: DataFrame, roi: DataFrame) -> DataFrame:
         "budget", F.col("budget_pct") / 100 * F.col("total_budget")
     )
     return (
-        attach(weighed, roi.select("channel", "roi"), ["channel"])
+        weighed.join(roi.select("channel", "roi"), "channel", "left")
         .withColumn("roi", F.coalesce("roi", F.lit(0.0)))
         .select(
             "scenario", "channel", "budget", "budget_pct", "roi",

@@ -1,4 +1,4 @@
-"""Joining per-key facts (one row per key) to many rows."""
+"""Joining per-id facts (one row per id) to many rows."""
 
 from __future__ import annotations
 
@@ -7,33 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixlab.session import stage
 
-# Facts are a key and a few numbers; this many rows stay within some tens of megabytes.
-BROADCAST_ROWS = 200_000
-
-
-def sized(facts: DataFrame) -> tuple[DataFrame, bool]:
-    """The facts written out, and whether their counted rows are few enough to broadcast."""
-    staged = stage(facts, "facts")
-    return staged, staged.count() <= BROADCAST_ROWS
-
-
-def join_facts(df: DataFrame, facts: DataFrame, keys: Sequence[str], few: bool, how: str = "inner") -> DataFrame:
-    """Broadcast counted small facts, so that the rows stay where they are; join larger
-    ones by shuffle, where adaptive execution splits hot keys."""
-    return df.join(F.broadcast(facts) if few else facts, list(keys), how)
-
-
-def attach(df: DataFrame, facts: DataFrame, id_cols: Sequence[str], bounded: bool = False) -> DataFrame:
+def attach(df: DataFrame, facts: DataFrame, id_cols: Sequence[str]) -> DataFrame:
     """Add per-id facts to the rows; without ids the facts are one row of scalars.
 
-    ``bounded`` marks frames of daily size, which need no size check first.
+    The join carries no hint: adaptive execution broadcasts or splits by measured bytes.
     """
     if not id_cols:
         packed = facts.select(F.struct(*facts.columns)).scalar()
         return df.withColumn("_facts", packed).select(*df.columns, "_facts.*")
-    if bounded:
-        return df.join(facts, list(id_cols), "left")
-    staged, few = sized(facts)
-    return join_facts(df, staged, id_cols, few, "left")
+    return df.join(facts, list(id_cols), "left")

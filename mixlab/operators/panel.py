@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,19 +14,37 @@ from mixlab.operators.features import panel_calendar
 from mixlab.operators.prep import zero_fill
 
 
+OTHERS = "other_channels"
+
+
+def _known_channel(channels: Sequence[str], others: str) -> Column:
+    """The channel; one that is not listed ends the query, or is named OTHERS to be carried along."""
+    if others not in ("fail", "carry"):
+        raise ValueError("others is 'fail' or 'carry'")
+    name = F.coalesce(F.col("channel"), F.lit("NULL"))
+    unlisted = F.lit(OTHERS) if others == "carry" else F.raise_error(F.concat(F.lit("unlisted channel: "), name)).cast("string")
+    return F.when(F.col("channel").isin(list(channels)), F.col("channel")).otherwise(unlisted)
+
+
 def pivot_spend(
     df: DataFrame,
     channels: Sequence[str],
     id_cols: Sequence[str] = (),
     carry: Sequence[str] = (),
+    others: str = "fail",
+    exact: bool = False,
 ) -> DataFrame:
     """Long to wide, ``sum(spend)`` per channel; ``carry`` columns become ``{channel}_{col}``.
 
     The channel list is given, so the schema is fixed and no extra job looks for it.
+    Spend of a channel that is not listed is never dropped: ``others`` says whether it
+    ends the query or goes to a column of its own. ``exact`` leaves decimal spend decimal.
     """
-    grouped = df.groupBy(*id_cols, "date").pivot("channel", list(channels))
+    names = [*channels, *([OTHERS] if others == "carry" else [])]
+    known = df.withColumn("channel", _known_channel(channels, others))
+    grouped = known.groupBy(*id_cols, "date").pivot("channel", names)
     if not carry:
-        return grouped.agg(F.sum("spend").cast("double"))
+        return grouped.agg(F.sum("spend") if exact else F.sum("spend").cast("double"))
     measures = [F.sum("spend").cast("double").alias("spend"), *[F.sum(c).alias(c) for c in carry]]
     return grouped.agg(*measures).withColumnsRenamed({f"{c}_spend": c for c in channels})
 
@@ -78,8 +96,9 @@ def sales_with_spend(df: DataFrame, channels: Sequence[str], id_cols: Sequence[s
 
     Equal to joining ``daily_sales`` and ``pivot_spend`` of the same lines, but
     the lines (and the joins below them) are read once and shuffled once, as one
-    partial row per date and task.
+    partial row per date and task. A channel that is not listed ends the query.
     """
+    df = df.withColumn("channel", _known_channel(channels, "fail"))
     return df.groupBy(*id_cols, F.col("InvoiceDate").alias("date")).agg(
         F.sum("TotalAmount").cast("double").alias("revenue"),
         F.count("InvoiceNo").alias("transactions"),
@@ -101,6 +120,19 @@ def time_split(
     return train, df.filter(F.col("date") >= F.to_date(F.lit(test_start)))
 
 
+def time_part(df: DataFrame, train_end: str, test_start: str | None = None) -> DataFrame:
+    """The rows of both sides of ``time_split``, with their side in ``part``, in one pass."""
+    train = F.col("date") <= F.to_date(F.lit(train_end))
+    test = F.col("date") >= F.to_date(F.lit(test_start)) if test_start else F.col("date") > F.to_date(F.lit(train_end))
+    return df.withColumn("part", F.when(train, "train").when(test, "test")).filter(F.col("part").isNotNull())
+
+
+def random_part(df: DataFrame, keys: Sequence[str], fraction: float = 0.8, seed: int = 42) -> DataFrame:
+    """The rows with their side of ``random_split`` in ``part``."""
+    low = uniform(F.concat_ws("|", *keys), seed, "split") < F.lit(fraction)
+    return df.withColumn("part", F.when(low, "train").otherwise("test"))
+
+
 def random_split(
     df: DataFrame, keys: Sequence[str], fraction: float = 0.8, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:

@@ -81,7 +81,7 @@ def iqr_outliers(
     """Rows with ``col`` inside [q1 - t*iqr, q3 + t*iqr]; NULL rows go, as in a comparison."""
     limits = _iqr_limits(df, col, threshold, id_cols, exact, bounded)
     return (
-        attach(df, limits, id_cols, bounded)
+        attach(df, limits, id_cols)
         .filter(F.col(col).cast("double").between(F.col("_lower"), F.col("_upper")))
         .drop("_lower", "_upper")
     )
@@ -99,13 +99,20 @@ def outlier_counts(
     limits = _iqr_limits(df, col, threshold, id_cols, exact, bounded)
     inside = F.col(col).cast("double").between(F.col("_lower"), F.col("_upper"))
     return (
-        attach(df, limits, id_cols, bounded)
+        attach(df, limits, id_cols)
         .groupBy(*id_cols)
         .agg(F.count("*").alias("n_rows"), F.count_if(inside).alias("n_kept"))
         .withColumn("n_removed", F.col("n_rows") - F.col("n_kept"))
     )
 
 
+def _mean(df: DataFrame, col: str) -> Column:
+    """Mean of a column; decimals are summed exactly and divided once, so the order of rows does not matter."""
+    if dict(df.dtypes)[col].startswith("decimal"):
+        return F.sum(col).cast("double") / F.count(col)
+    return F.avg(F.col(col).cast("double"))
+
+
 def fill_missing(
     df: DataFrame,
     method: str = "interpolate",
@@ -120,7 +127,7 @@ def fill_missing(
         return interpolate(df, cols, id_cols, date_col)
     if method == "mean":
         facts = df.groupBy(*id_cols).agg(
-            *[F.avg(F.col(c).cast("double")).alias(f"_fill_{c}") for c in cols]
+            *[_mean(df, c).alias(f"_fill_{c}") for c in cols]
         )
     elif method == "median":
         facts = quantile_columns(df, cols, {"fill": 0.5}, id_cols, bounded=bounded)
@@ -128,7 +135,7 @@ def fill_missing(
     else:
         return df
     filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_fill_{c}")) for c in cols}
-    return attach(df, facts, id_cols, bounded).withColumns(filled).select(*df.columns)
+    return attach(df, facts, id_cols).withColumns(filled).select(*df.columns)
 
 
 def interpolate(
@@ -165,4 +172,4 @@ def standardize(
         c: F.try_divide(F.col(c).cast("double") - F.col(f"_avg_{c}"), F.nullif(F.col(f"_std_{c}"), F.lit(0.0)))
         for c in cols
     }
-    return attach(df, facts, id_cols, bounded).withColumns(scaled).select(*df.columns)
+    return attach(df, facts, id_cols).withColumns(scaled).select(*df.columns)

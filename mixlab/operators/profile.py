@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from mixlab.functions.calendar import WEEKDAYS
 from mixlab.functions.stats import correlation_of
@@ -108,12 +109,11 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataF
 
 
 def describe_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, stddev, min, max per column in one pass; text columns give only
-    their count and text bounds."""
-    types = dict(df.dtypes)
+    """count, mean, stddev, min, max per column in one pass; columns that are no numbers
+    (text, dates, times, flags) give their count and their bounds as text."""
     rows = []
     for c in cols or df.columns:
-        text = types[c] == "string"
+        text = not isinstance(df.schema[c].dataType, NumericType)
         number = F.lit(None).cast("double") if text else F.col(c).cast("double")
         words = F.col(c) if text else F.lit(None).cast("string")
         rows.append(
@@ -124,8 +124,8 @@ def describe_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
                 F.stddev_samp(number).alias("stddev"),
                 F.min(number).alias("min"),
                 F.max(number).alias("max"),
-                F.min(words).alias("min_text"),
-                F.max(words).alias("max_text"),
+                F.min(words).cast("string").alias("min_text"),
+                F.max(words).cast("string").alias("max_text"),
             )
         )
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mixlab.operators.facts import join_facts, sized
+from mixlab.session import stage
 
 _ACCURACY = 10_000
 _MARGIN = 2.5 / _ACCURACY
@@ -74,7 +74,7 @@ def exact_quantiles(
     long = _long(df, cols, ids)
     keys = [*ids, "_c"]
     splits = sorted({min(1.0, max(0.0, p + s)) for p in probs for s in (-_MARGIN, _MARGIN)})
-    sketch, few = sized(
+    sketch = stage(
         long.groupBy(*keys).agg(
             F.concat(
                 F.array(F.min("_v")), F.percentile_approx("_v", splits, _ACCURACY), F.array(F.max("_v"))
@@ -82,7 +82,7 @@ def exact_quantiles(
         )
     )
     if ids or len(cols) > 1:
-        edged = join_facts(long, sketch, keys, few)
+        edged = long.join(sketch, keys)
     else:
         edged = long.withColumn("_edges", sketch.select("_edges").scalar())
     sliced = edged.select(*keys, "_v", _slice(len(splits) + 2).alias("_s"))
@@ -99,7 +99,7 @@ def exact_quantiles(
         return (high >= F.col("_b")) & (low < F.col("_b") + F.col("_n"))
 
     ranks = F.array(*[rank(i, p) for i, p in enumerate(probs)])
-    targets, few = sized(
+    targets = stage(
         counts.withColumn("_t", F.filter(ranks, held))
         .filter(F.size("_t") > 0)
         .select(*keys, "_s", "_t", F.col("_b").alias("_base"))
@@ -107,7 +107,7 @@ def exact_quantiles(
 
     slice_keys = [*keys, "_s"]
     values = (
-        join_facts(sliced, targets, slice_keys, few)
+        sliced.join(targets, slice_keys)
         .groupBy(*slice_keys, "_v")
         .agg(F.count("*").alias("_n"), F.first("_t").alias("_t"), F.first("_base").alias("_base"))
         .withColumn("_b", F.col("_base") + _before(slice_keys, "_v"))

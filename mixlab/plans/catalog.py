@@ -119,9 +119,9 @@ def wide(spark, d) -> DataFrame:
     return pa.pivot_spend(spend_view(spark, d), CHANNELS)
 
 
-def country_wide(spark, d) -> DataFrame:
+def country_wide(spark, d, exact: bool = False) -> DataFrame:
     rows = lines(spark, d, "Country", "InvoiceDate", "channel", "spend")
-    return pa.pivot_spend(rows.withColumnRenamed("InvoiceDate", "date"), CHANNELS, ["Country"])
+    return pa.pivot_spend(rows.withColumnRenamed("InvoiceDate", "date"), CHANNELS, ["Country"], exact=exact)
 
 
 def panel(spark, d) -> DataFrame:
@@ -135,7 +135,7 @@ def contributions(spark, d) -> DataFrame:
 
 
 def median_roi(spark, d) -> DataFrame:
-    return at.median_roi(contributions(spark, d), CHANNELS)
+    return at.median_roi(contributions(spark, d), CHANNELS, bounded=True)
 
 
 def allocation(spark, d) -> DataFrame:
@@ -154,7 +154,7 @@ def scenarios(spark, d) -> DataFrame:
 
 def scenario_rows(spark, d) -> DataFrame:
     scored = stage(contributions(spark, d))
-    rows = bu.simulate_scenarios(scenarios(spark, d), at.median_roi(scored, CHANNELS))
+    rows = bu.simulate_scenarios(scenarios(spark, d), at.median_roi(scored, CHANNELS, bounded=True))
     return bu.append_baseline(rows, bu.mean_baseline(scored))
 
 
@@ -250,7 +250,7 @@ def _load_results(spark, d):
     folder = staging_path(spark, "results")
     data = stage(panel(spark, d))
     scored = at.contributions(data, SCORER, CHANNELS)
-    budget = bu.allocate_budget(at.median_roi(scored, CHANNELS), TOTAL, MIN_PCT, MAX_PCT)
+    budget = bu.allocate_budget(at.median_roi(scored, CHANNELS, bounded=True), TOTAL, MIN_PCT, MAX_PCT)
     files.save_results(scored, budget, mo.evaluate(SCORER.predict(data)), folder)
     daily, budget, metrics = files.load_results(spark, folder, CHANNELS)
     return daily.select(
@@ -384,8 +384,7 @@ def _date_range_operator(spark, d):
     ),
 )
 def _time_split(spark, d):
-    train, test = pa.time_split(sales(spark, d).select("date", "revenue"), TRAIN_END, TEST_START)
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return pa.time_part(sales(spark, d).select("date", "revenue"), TRAIN_END, TEST_START)
 
 
 @query(
@@ -613,16 +612,17 @@ def _histogram_visits(spark, d):
     return pf.histogram(_customers(spark, d), "num_transactions", 0, 20, 20)
 
 
+# Every column of the invoice lines; True where the bounds are text.
 _DESCRIBED = {
-    "Quantity": False, "UnitPrice": False, "TotalAmount": False, "CustomerID": False,
-    "Description": True, "Country": True,
+    "InvoiceNo": True, "StockCode": False, "Description": True, "Quantity": False, "InvoiceDate": True,
+    "UnitPrice": False, "CustomerID": False, "Country": True, "channel": True, "spend": False, "TotalAmount": False,
 }
 
 
 def _describe_sql(col: str, text: bool) -> str:
     if text:
         nothing = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in ("mean", "stddev", "min", "max"))
-        return f"SELECT '{col}' AS \"column\", count({col}) AS count, {nothing}, min({col}) AS min_text, max({col}) AS max_text FROM retail"
+        return f"SELECT '{col}' AS \"column\", count({col}) AS count, {nothing}, CAST(min({col}) AS VARCHAR) AS min_text, CAST(max({col}) AS VARCHAR) AS max_text FROM retail"
     v = f"CAST({col} AS DOUBLE)"
     return (
         f"SELECT '{col}' AS \"column\", count({col}) AS count, round(avg({v}), 6) AS mean, round(stddev_samp({v}), 6) AS stddev, "
@@ -690,21 +690,26 @@ def _quartiles_by_channel(spark, d):
     return rounded(pf.quartiles(stage(lines(spark, d, "channel", "TotalAmount")), "TotalAmount", ["channel"]), 6)
 
 
-def _fill_sql(fn: str) -> str:
+def _fill_sql(fill: str) -> str:
     return build(
         "SELECT Country, date, " + ", ".join(
-            f"round(coalesce({c}, {fn}({c}) OVER (PARTITION BY Country)), 6) AS {c}" for c in CHANNELS
+            f"round(coalesce({c}, {fill.format(c=c)}), 6) AS {c}" for c in CHANNELS
         ) + " FROM country_wide",
         "country_wide",
     )
 
 
-@query("fill_mean", _fill_sql("avg"))
+_MEAN_SQL = (
+    "CAST(sum(CAST({c} AS DECIMAL(27,4))) OVER (PARTITION BY Country) AS DOUBLE) / count({c}) OVER (PARTITION BY Country)"
+)
+
+
+@query("fill_mean", _fill_sql(_MEAN_SQL))
 def _fill_mean(spark, d):
-    return rounded(pr.fill_missing(country_wide(spark, d), "mean", CHANNELS, ["Country"], bounded=True), 6)
+    return rounded(pr.fill_missing(country_wide(spark, d, exact=True), "mean", CHANNELS, ["Country"], bounded=True), 6)
 
 
-@query("fill_median", _fill_sql("median"))
+@query("fill_median", _fill_sql("median({c}) OVER (PARTITION BY Country)"))
 def _fill_median(spark, d):
     return rounded(pr.fill_missing(country_wide(spark, d), "median", CHANNELS, ["Country"], bounded=True), 6)
 
@@ -1220,8 +1225,7 @@ def _evaluate(spark, d):
     build(f"SELECT date, revenue, CASE WHEN {uniform_sql('date', SEED, 'split')} < 8.0e-1 THEN 'train' ELSE 'test' END AS part FROM sales", "sales"),
 )
 def _random_split(spark, d):
-    train, test = pa.random_split(sales(spark, d).select("date", "revenue"), ["date"], 0.8, SEED)
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return pa.random_part(sales(spark, d).select("date", "revenue"), ["date"], 0.8, SEED)
 
 
 _CONTRIB = ["predicted_revenue", *PARTS]

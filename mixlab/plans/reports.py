@@ -24,7 +24,7 @@ def report_contributions(contributions: DataFrame, channels: Sequence[str]) -> D
 
 
 def report_roi(contributions: DataFrame, channels: Sequence[str]) -> DataFrame:
-    return median_roi(contributions, channels).orderBy(F.desc_nulls_last("roi"), "channel")
+    return median_roi(contributions, channels, bounded=True).orderBy(F.desc_nulls_last("roi"), "channel")
 
 
 def report_budget(budget: DataFrame) -> DataFrame:
@@ -37,7 +37,7 @@ def report_top_features(importance: DataFrame, k: int = 15) -> DataFrame:
 
 def report_findings(contributions: DataFrame, channels: Sequence[str], n: int = 3) -> DataFrame:
     """One row: the n best and n worst channels, both listed by falling ROI, and the baseline's share."""
-    sides = roi_extremes(median_roi(contributions, channels), n)
+    sides = roi_extremes(median_roi(contributions, channels, bounded=True), n)
 
     def names(side: str):
         entry = F.struct((-F.col("roi")).alias("rank"), F.col("channel"))

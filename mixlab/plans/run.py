@@ -110,7 +110,7 @@ def run_mix(
     else:
         scorer, weights = train_linear(train, names), None
     scored = stage(contributions(panel, scorer, config.channels))
-    roi = median_roi(scored, config.channels)
+    roi = median_roi(scored, config.channels, bounded=True)
     return MixResult(
         panel=panel,
         train=train,
