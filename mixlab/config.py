@@ -18,8 +18,11 @@ CHANNEL_PARAMS = {
     "display": {"decay_rate": 0.5, "max_lag": 10, "saturation_type": "hill", "k": 0.6, "S": 2000},
 }
 
+# Lags, windows, and boosting rounds of the model and of the importance report.
 DEFAULT_LAGS = (1, 7, 14, 28)
 DEFAULT_WINDOWS = (7, 14, 30)
+BOOSTING_ROUNDS = 500
+IMPORTANCE_ROUNDS = 100
 
 
 @dataclass(frozen=True)
@@ -41,6 +44,7 @@ class MixConfig:
     channels: tuple[str, ...] = CHANNELS
     channel_params: dict = field(default_factory=lambda: dict(CHANNEL_PARAMS))
     folds: int = 3
+    rounds: int = BOOSTING_ROUNDS
     seed: int = 42
     budget: float = 100000.0
     min_pct: float = 0.05
@@ -70,6 +74,7 @@ class MixConfig:
             holidays=feat.get("create_holiday_features", True),
             channels=tuple(raw.get("marketing_channels", CHANNELS)),
             folds=model.get("num_validation_folds", 3),
+            rounds=model.get("boosting_rounds", BOOSTING_ROUNDS),
             seed=model.get("random_state", 42),
             budget=float(opt.get("budget_constraint", 100000)),
             min_pct=opt.get("min_channel_budget_pct", 0.05),

@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import zlib
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from itertools import product
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
+from mixlab.config import BOOSTING_ROUNDS
 from mixlab.functions.carryover import carry_over, geometric_weights, saturate
 from mixlab.functions.stats import correlation_of
 from mixlab.operators.panel import time_folds
-from mixlab.session import stage
+from mixlab.session import shared_dir, stage
 
 
 def feature_columns(df: DataFrame, target: str = "revenue", exclude: Sequence[str] = ()) -> list[str]:
-    """Every column but the date, the target, text and the excluded ones."""
+    """Every numeric column but the target and the excluded ones, such as numeric ids."""
     dropped = {"date", target, *exclude}
-    return [c for c, kind in df.dtypes if c not in dropped and kind != "string"]
+    return [f.name for f in df.schema if f.name not in dropped and isinstance(f.dataType, NumericType)]
 
 
 def assemble(df: DataFrame, target: str = "revenue", exclude: Sequence[str] = ()) -> DataFrame:
@@ -117,7 +120,7 @@ def train_gbt(
     df: DataFrame,
     features: Sequence[str],
     target: str = "revenue",
-    max_iter: int = 20,
+    max_iter: int = BOOSTING_ROUNDS,
     max_depth: int = 5,
     seed: int = 42,
 ) -> TreeScorer:
@@ -135,6 +138,28 @@ def train_gbt(
     return TreeScorer(learner.fit(_training_rows(df, features, target)), list(features))
 
 
+def saved_gbt(
+    df: DataFrame, features: Sequence[str], target: str = "revenue", max_iter: int = BOOSTING_ROUNDS, seed: int = 42
+) -> TreeScorer:
+    """``train_gbt``, or the model that an earlier call saved for the same rows and parameters.
+
+    The name of the saved model holds a checksum of the training rows, so other rows are
+    fitted anew. ``df`` is read once more for it and should be staged.
+    """
+    cells = F.xxhash64(*[F.col(c).cast("double") for c in (*features, target)])
+    rows, mark = df.agg(F.count("*"), F.bit_xor(cells)).first()
+    names = zlib.crc32("|".join([*features, target]).encode())
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/mixlab-gbt-{rows}-{mark}-{names}-{max_iter}-{seed}"
+    try:
+        return TreeScorer(GBTRegressionModel.load(path), list(features))
+    except Exception as error:  # noqa: BLE001 - nothing saved yet
+        if "does not exist" not in str(error) and "FileNotFound" not in str(error) and "PATH_NOT_FOUND" not in str(error):
+            raise
+    scorer = train_gbt(df, features, target, max_iter, seed=seed)
+    scorer.model.write().overwrite().save(path)
+    return scorer
+
+
 def importance(spark, scorer: TreeScorer) -> DataFrame:
     """(feature, importance), one row per feature, normalised to sum 1."""
     weights = scorer.model.featureImportances.toArray()
@@ -155,12 +180,15 @@ def evaluate(df: DataFrame, y: str = "revenue", yhat: str = "prediction", by: Se
     )
 
 
-def cross_validate(df: DataFrame, features: Sequence[str], target: str = "revenue", k: int = 3) -> DataFrame:
-    """Metrics per test block of expanding-window validation; one fit per fold."""
+def cross_validate(
+    df: DataFrame, features: Sequence[str], target: str = "revenue", k: int = 3, fit: Callable | None = None
+) -> DataFrame:
+    """Metrics per test block of expanding-window validation; one fit per fold, by ``fit`` (linear by default)."""
+    df = stage(df)
     staged = stage(df.join(time_folds(df, k), "date"))
     scored = None
     for fold in range(k):
-        scorer = train_linear(staged.filter(F.col("fold") < fold), features, target)
+        scorer = (fit or train_linear)(staged.filter(F.col("fold") < fold), features, target)
         block = scorer.predict(staged.filter(F.col("fold") == fold)).select("fold", target, "prediction")
         scored = block if scored is None else scored.unionByName(block)
     return evaluate(scored, target, "prediction", ["fold"])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mixlab.config import CHANNELS as MEDIA
-from mixlab.config import DEFAULT_LAGS, DEFAULT_WINDOWS
+from mixlab.config import BOOSTING_ROUNDS, DEFAULT_LAGS, DEFAULT_WINDOWS, IMPORTANCE_ROUNDS
 from mixlab.functions.calendar import PROMO_DAYS, UK_HOLIDAYS, WEEKDAYS
 from mixlab.functions.carryover import geometric_weights, saturate, weibull_weights
 from mixlab.operators import attribution as at
@@ -162,11 +162,11 @@ def features_of(df: DataFrame) -> list[str]:
     return mo.feature_columns(df)
 
 
-def boosted(spark, d):
+def boosted(spark, d, rounds: int = BOOSTING_ROUNDS):
     """Trees fitted on the days before the split, and the panel they belong to."""
     data = stage(panel(spark, d))
     train, _ = pa.time_split(data, TRAIN_END)
-    return mo.train_gbt(train, features_of(data), max_iter=10, seed=SEED), data
+    return mo.saved_gbt(train, features_of(data), max_iter=rounds, seed=SEED), data
 
 
 # ---- sources and sinks -----------------------------------------------------
@@ -191,6 +191,45 @@ def _scan_csv(spark, d):
     )
 
 
+@query(
+    "scan_csv_by_header",
+    "SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, "
+    "o_orderstatus AS note FROM orders",
+)
+def _scan_csv_by_header(spark, d):
+    """Other order, a further column, ids as 17850.0 and dates as 12/1/2010 8:26."""
+    path = staging_path(spark, "orders-csv")
+    orders = table(spark, d, "orders").select(
+        F.col("o_orderstatus").alias("note"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"),
+        F.date_format("o_orderdate", "M/d/yyyy H:mm").alias("order_date"),
+        F.col("o_custkey").cast("double").alias("o_custkey"),
+        "o_orderkey",
+    )
+    files.write_csv(orders, path)
+    return files.scan_csv(spark, path, "o_orderkey LONG, o_custkey LONG, order_date DATE, o_totalprice DECIMAL(12,2)")
+
+
+@query(
+    "csv_rejected",
+    "SELECT 'o_orderkey' AS \"column\", CAST(0 AS BIGINT) AS rejected UNION ALL "
+    "SELECT 'order_date', count(*) FILTER (o_orderstatus = 'O') FROM orders",
+)
+def _csv_rejected(spark, d):
+    path = staging_path(spark, "orders-csv")
+    day = F.when(F.col("o_orderstatus") == "O", "some day").otherwise(F.col("o_orderdate").cast("date").cast("string"))
+    files.write_csv(table(spark, d, "orders").select("o_orderkey", day.alias("order_date")), path)
+    return files.rejected_values(spark, path, "o_orderkey LONG, order_date DATE")
+
+
+@query(
+    "preview_rows",
+    build("SELECT date, revenue, transactions, unique_customers FROM sales ORDER BY date LIMIT 5", "sales"),
+)
+def _preview_rows(spark, d):
+    return files.preview_rows(sales(spark, d), 5, ["date"])
+
+
 @query("write_csv", build("SELECT * FROM sales", "sales"))
 def _write_csv(spark, d):
     path = staging_path(spark, "sales-csv")
@@ -934,7 +973,7 @@ def _top_customers(spark, d):
 
 @query("top_features")
 def _top_features(spark, d):
-    scorer, _ = boosted(spark, d)
+    scorer, _ = boosted(spark, d, IMPORTANCE_ROUNDS)
     return pf.top_k(mo.importance(spark, scorer), "importance", 20, ["feature"])
 
 
@@ -1174,9 +1213,7 @@ def _assemble_features(spark, d):
 @query("train_gbt")
 def _train_gbt(spark, d):
     scorer, data = boosted(spark, d)
-    train, test = pa.time_split(scorer.predict(data), TRAIN_END)
-    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-    return mo.evaluate(both, by=["part"])
+    return mo.evaluate(pa.time_part(scorer.predict(data), TRAIN_END), by=["part"])
 
 
 @query(
@@ -1206,7 +1243,7 @@ def _train_linear_all(spark, d):
 
 @query("feature_importance")
 def _feature_importance(spark, d):
-    scorer, _ = boosted(spark, d)
+    scorer, _ = boosted(spark, d, IMPORTANCE_ROUNDS)
     return mo.importance(spark, scorer)
 
 
@@ -1414,7 +1451,7 @@ def _report_budget(spark, d):
 
 @query("report_top_features")
 def _report_top_features(spark, d):
-    scorer, _ = boosted(spark, d)
+    scorer, _ = boosted(spark, d, IMPORTANCE_ROUNDS)
     return rp.report_top_features(mo.importance(spark, scorer))
 
 

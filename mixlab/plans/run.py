@@ -29,8 +29,8 @@ from mixlab.session import stage
 class MixResult:
     panel: DataFrame
     train: DataFrame
-    test: DataFrame
-    metrics: DataFrame
+    test: DataFrame | None
+    metrics: DataFrame | None
     importance: DataFrame | None
     contributions: DataFrame
     roi: DataFrame
@@ -70,7 +70,7 @@ def run_mix(
     spend: DataFrame | None = None,
     external: DataFrame | None = None,
     trees: bool = True,
-    max_iter: int = 20,
+    max_iter: int | None = None,
     carry_features: bool = False,
     exclude: tuple[str, ...] = (),
 ) -> MixResult:
@@ -80,7 +80,9 @@ def run_mix(
     transactions are read once: daily sales are staged, and so is the panel,
     which the model reads many times. ``carry_features`` takes the lag and
     rolling columns of the spend into the panel; ``exclude`` keeps columns (such
-    as same-day outcomes) out of the model.
+    as same-day outcomes) out of the model. The boosting rounds are those of the
+    configuration unless ``max_iter`` is given. Without a training end all days train and
+    there are no test metrics.
     """
     sales = stage(daily_sales(clean_transactions(transactions, config)))
     dates = sales.select("date")
@@ -102,10 +104,10 @@ def run_mix(
     if config.train_end_date:
         train, test = time_split(panel, config.train_end_date, config.test_start_date)
     else:
-        train = test = panel
+        train, test = panel, None
     names = feature_columns(panel, exclude=exclude)
     if trees:
-        scorer = train_gbt(train, names, max_iter=max_iter, seed=config.seed)
+        scorer = train_gbt(train, names, max_iter=max_iter or config.rounds, seed=config.seed)
         weights = importance(panel.sparkSession, scorer)
     else:
         scorer, weights = train_linear(train, names), None
@@ -115,7 +117,7 @@ def run_mix(
         panel=panel,
         train=train,
         test=test,
-        metrics=evaluate(scorer.predict(test)),
+        metrics=None if test is None else evaluate(scorer.predict(test)),
         importance=weights,
         contributions=scored,
         roi=roi,

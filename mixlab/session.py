@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -41,15 +44,35 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(folder)
         return folder
     if not context.getCheckpointDir():
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="mixlab-"))
+        own = tempfile.mkdtemp(prefix="mixlab-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
     return context.getCheckpointDir()
 
 
+_staged: list[str] = []
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a staged table in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/mixlab-{name}-{uuid.uuid4().hex}"
+    """A fresh path for a staged table in the shared folder; ``release_stages`` removes it."""
+    path = f"{shared_dir(spark).rstrip('/')}/mixlab-{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
+
+
+def release_stages(spark: SparkSession) -> int:
+    """Delete all tables staged by this process so far; call it when their results are written.
+
+    Returns how many were there.
+    """
+    gone = 0
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _staged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        gone += path.getFileSystem(conf).delete(path, True)
+    return gone
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TRANSACTIONS = (
     "InvoiceNo STRING, StockCode STRING, Description STRING, Quantity INT, "
-    "InvoiceDate TIMESTAMP, UnitPrice DOUBLE, CustomerID LONG, Country STRING"
+    "InvoiceDate TIMESTAMP, UnitPrice DECIMAL(12,4), CustomerID LONG, Country STRING"
 )
 SALES = "date DATE, revenue DOUBLE"
 MARKETING = "date DATE, channel STRING, spend DOUBLE"
@@ -28,12 +30,57 @@ def contributions_schema(channels: Sequence[str]) -> str:
     return ", ".join(fields)
 
 
-def scan_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema Spark infers one, at the price of an extra pass."""
+# Besides the ISO forms, which are always read.
+TIME_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy")
+
+
+def _typed(field: T.StructField, formats: Sequence[str]) -> Column:
+    """A text column as its type; what does not fit is NULL. Whole numbers may end in .0."""
+    text, kind = F.nullif(F.trim(F.col(f"`{field.name}`")), F.lit("")), field.dataType
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        known = [F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in formats]]
+        return F.coalesce(*known).cast(kind)
+    if isinstance(kind, T.IntegralType):
+        value = text.try_cast("decimal(38,6)")
+        return F.when(value == F.floor(value), value).try_cast(kind)
+    return F.col(f"`{field.name}`") if isinstance(kind, T.StringType) else text.try_cast(kind)
+
+
+def scan_csv(
+    spark: SparkSession, path: str, schema: str | None = None, formats: Sequence[str] = TIME_FORMATS
+) -> DataFrame:
+    """CSV with a header. Without a schema Spark infers one, at the price of an extra pass.
+
+    The schema's columns are found by their names in the header, wherever they stand; a
+    missing one is an error. Further columns follow with inferred types. Times may be
+    written in ISO form or in one of ``formats``. Values that do not fit are NULL;
+    ``rejected_values`` counts them.
+    """
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+    raw = reader.option("enforceSchema", False).csv(path)
+    wanted = list(T.StructType.fromDDL(schema))
+    missing = [f.name for f in wanted if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    names = {f.name for f in wanted}
+    if set(raw.columns) - names:
+        wanted += [f for f in reader.option("inferSchema", True).csv(path).schema if f.name not in names]
+    return raw.select(*[_typed(f, formats).alias(f.name) for f in wanted])
+
+
+def rejected_values(
+    spark: SparkSession, path: str, schema: str, formats: Sequence[str] = TIME_FORMATS
+) -> DataFrame:
+    """(column, rejected): how many values of each column ``scan_csv`` cannot read as its type, in one pass."""
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    rows = []
+    for f in T.StructType.fromDDL(schema):
+        given = F.nullif(F.trim(F.col(f"`{f.name}`")), F.lit("")).isNotNull()
+        bad = F.count_if(given & _typed(f, formats).isNull())
+        rows.append(F.struct(F.lit(f.name).alias("column"), bad.alias("rejected")))
+    return raw.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -56,8 +103,9 @@ def preview_schema(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position INT, name STRING, type STRING")
 
 
-def preview_rows(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
+def preview_rows(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """The first rows in the order of the given columns, or of all columns, so that reruns agree."""
+    return df.orderBy(*(order or df.columns)).limit(n)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -645,3 +645,84 @@ def test_loaders_apply_the_settings(spark, tmp_path):
     sales.write_text("date,revenue\n2010-12-02,5.5\n")
     assert loaders.load_sales(spark, str(sales), config).first()["revenue"] == 5.5
     assert loaders.load_external(spark, str(tmp_path / "none.csv")).count() == 0
+
+
+def test_csv_follows_the_header(spark, tmp_path):
+    from mixlab.sources import loaders
+
+    path = tmp_path / "sales.csv"
+    path.write_text("date,transactions,revenue\n2010-12-02,5,100.5\n12/3/2010 8:26,6,200.5\n")
+    rows = loaders.load_sales(spark, str(path)).orderBy("date").collect()
+    assert [(str(r["date"]), r["revenue"], r["transactions"]) for r in rows] == [("2010-12-02", 100.5, 5), ("2010-12-03", 200.5, 6)]
+    path.write_text("date,transactions\n2010-12-02,5\n")
+    with pytest.raises(ValueError, match="revenue"):
+        loaders.load_sales(spark, str(path))
+    retail = tmp_path / "retail.csv"
+    retail.write_text(
+        "Country,CustomerID,UnitPrice,InvoiceDate,Quantity,Description,StockCode,InvoiceNo\n"
+        "UK,17850.0,2.55,12/1/2010 8:26,6,Cup,A,1\nUK,,abc,12/1/2010 9:00,1.5,Mug,B,2\nUK,7,3,oops,2,Mug,B,3\n"
+    )
+    first = loaders.load_retail(spark, str(retail)).filter("InvoiceNo = '1'").first()
+    assert (first["CustomerID"], str(first["TotalAmount"]), first["InvoiceTs"].hour) == (17850, "15.3000", 8)
+    bad = {r["column"]: r["rejected"] for r in files.rejected_values(spark, str(retail), files.TRANSACTIONS).collect()}
+    assert {c: n for c, n in bad.items() if n} == {"UnitPrice": 1, "Quantity": 1, "InvoiceDate": 1}
+
+
+def test_unlisted_channels_are_never_dropped(spark):
+    df = series(spark, [1, 2]).select("date", F.lit("tv").alias("channel"), F.col("v").alias("spend"))
+    wider = df.unionByName(df.withColumn("channel", F.lit("billboard"))).unionByName(df.withColumn("channel", F.lit(None)))
+    with pytest.raises(Exception, match="unlisted channel"):
+        pa.pivot_spend(wider, ["tv"]).collect()
+    carried = pa.pivot_spend(wider, ["tv"], others="carry").orderBy("date").collect()
+    assert [(r["tv"], r[pa.OTHERS]) for r in carried] == [(1.0, 2.0), (2.0, 4.0)]
+
+
+def test_mean_of_decimals_does_not_depend_on_the_order(spark):
+    values = [0.1, 0.2, 0.3, None, 12345678.9, 0.7]
+    df = series(spark, values).withColumn("v", F.col("v").cast("decimal(12,4)"))
+    filled = {r["v"] for r in pr.fill_missing(df, "mean", ["v"]).filter("date = '%s'" % day(3)).collect()}
+    assert filled == {float(12345680.2) / 5}
+    assert filled == {r["v"] for r in pr.fill_missing(df.orderBy(F.desc("date")), "mean", ["v"]).filter("date = '%s'" % day(3)).collect()}
+
+
+def test_saturation_refuses_and_guards(spark):
+    from mixlab.functions.carryover import saturate
+
+    for kind in ("hill", "exp"):
+        with pytest.raises(ValueError):
+            saturate(F.col("v"), kind, 0.5, 0)
+    row = series(spark, [-4.0]).select(saturate(F.col("v"), "hill", 0.5, 10).alias("h"), saturate(F.col("v"), "exp", 0.5, 10).alias("e")).first()
+    assert (row["h"], row["e"]) == (0.0, 0.0)
+
+
+def test_describe_takes_every_type(spark):
+    df = spark.createDataFrame([("2010-01-01", 1, True), ("2011-01-01", 3, None)], "d string, n int, b boolean").withColumn("d", F.to_date("d"))
+    rows = {r["column"]: r for r in pf.describe_long(df).collect()}
+    assert (rows["d"]["min_text"], rows["d"]["max_text"], rows["n"]["mean"], rows["b"]["count"]) == ("2010-01-01", "2011-01-01", 2.0, 1)
+
+
+def test_ids_are_no_features(spark):
+    df = spark.createDataFrame([(1, 2.0, 3, "x")], "StockCode long, revenue double, tv int, note string")
+    assert mo.feature_columns(df, exclude=["StockCode"]) == ["tv"]
+
+
+def test_no_test_metrics_without_a_split(spark):
+    lines = si.demo_transactions(series(spark, range(40)).select("date"), per_day=3)
+    out = run_mix(lines, MixConfig(lags=None, windows=None), trees=False, exclude=("transactions",))
+    assert out.test is None and out.metrics is None and out.budget.count() == len(CHANNELS)
+
+
+def test_model_is_saved_and_loaded(spark, monkeypatch):
+    df = series(spark, [1, 5, 2, 8, 3, 9, 4, 7]).select("date", F.col("v").alias("revenue"), (F.col("v") * 2).alias("tv"))
+    first = mo.saved_gbt(df, ["tv"], max_iter=3).predict(df).collect()
+    monkeypatch.setattr(mo, "train_gbt", None)
+    assert mo.saved_gbt(df, ["tv"], max_iter=3).predict(df).collect() == first
+
+
+def test_stages_can_be_released(spark):
+    from mixlab import session
+
+    held, session._staged[:] = list(session._staged), []
+    df = session.stage(series(spark, [1]))
+    assert df.count() == 1 and session.release_stages(spark) == 1 and session.release_stages(spark) == 0
+    session._staged[:] = held

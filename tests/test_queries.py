@@ -9,8 +9,8 @@ from __spark_entry__ import entry, oracle_sql, queries
 from check_queries import compare, connect
 from mixlab.plans import catalog
 
-ORACLE = oracle_sql()
-QUERIES = queries()
+ORACLE = catalog.ORACLE
+QUERIES = catalog.QUERIES
 UNCHECKED = sorted(set(QUERIES) - set(ORACLE))
 
 
@@ -26,6 +26,10 @@ def test_matches_sql(spark, folder, con, name):
     assert compare(got, con.sql(ORACLE[name]).to_arrow_table()) == []
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
+
+
 def test_only_models_lack_sql():
     assert UNCHECKED == [
         "channel_contributions_gbt",
