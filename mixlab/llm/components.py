@@ -10,8 +10,11 @@ from mixlab.session import stage
 MAX_ROUNDS = 60
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 31)))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether the links (u, its lesser v) are stars: one link per u, and no v is a u."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("low"))
+    return not seen.where("ups > 1 or (ups = 1 and low = 0)").take(1)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,22 +28,17 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stage(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
     )
-    state = _state(edges)
     for _ in range(MAX_ROUNDS):
-        if not state[0]:
+        if _settled(edges):
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(F.col("u").alias("c")).agg(F.least(F.min("v"), F.col("c")).alias("m"))
         large = both.join(least, F.col("u") == F.col("c")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(large.where("u <> v").distinct(), "links")
+        large = stage(large.where("u <> v"), "links")
         least = large.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m"))
         joined = large.join(least, F.col("u") == F.col("c"))
         small = joined.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
         edges = stage(small.where("u <> v").distinct(), "links")
-        now = _state(edges)
-        if now == state:
-            break
-        state = now
     else:
         raise RuntimeError("the components did not settle")
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -30,7 +30,7 @@ from mixlab.llm.components import components
 from mixlab.llm.text import Words, chunks, mix, rolling, signed, string_buffers
 from mixlab.session import stage
 
-SKETCH_BITS = 1024
+LEAST_SKETCH = 256
 # Stands for a null id while sets are compared.
 NO_ID = (1 << 63) - 1
 BLOCK = 2000
@@ -92,10 +92,14 @@ def fingerprints(grams: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def sketches(grams: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-    """Parity sketches: bits that two sketches do not share are elements that the sets do not share."""
-    bits = SKETCH_BITS
+    """Parity sketches: every bit in which two sketches differ is an element that only one of the sets has.
+
+    A sketch has at least four bits per element, a power of two; the larger of two is
+    folded onto the smaller.
+    """
     out = []
-    for low, high in zip(offsets[:-1], offsets[1:]):
+    for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        bits = max(LEAST_SKETCH, 1 << (4 * (high - low) - 1).bit_length()) if high > low else LEAST_SKETCH
         odd = np.bincount((grams[low:high] & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
         out.append(np.packbits(odd.astype(np.uint8)).tobytes())
     return out
@@ -224,14 +228,17 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting = bool(whole[-1]) and not meets[-1]
 
 
-def _far_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+def _folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches of ``size`` bytes or more, folded to that size, as rows of 64-bit words."""
+    out = np.empty((len(sketches), size // 8), np.uint64)
+    for i, sketch in enumerate(sketches):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, size // 8), axis=0)
+    return out
 
 
-def _packed(column: pa.Array) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), SKETCH_BITS // 64)
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which the rows differ; never more than the sets do."""
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
 
 
 def similar_sets(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -291,7 +298,9 @@ def similar_sets(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tup
     named = met.select("key", "node").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_keys = named.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
     open_keys = open_keys.where("low <> high and size > 2").select("key", "size")
-    rest = stage(named.join(open_keys, "key").join(facts, "node").select("key", "size", "node", "rep", "root", "n", "sketch"), "open")
+    held = stage(named.join(open_keys, "key").select("key", "size", "node", "root"), "open")
+    shared = held.groupBy("node").agg(F.collect_list("key").alias("keys"))
+    rest = held.join(shared, "node").join(facts, "node").select("key", "size", "node", "rep", "root", "n", "sketch", "keys")
     more = _verified(_open_pairs(rest, rule), source, rule)
     more = stage(more, "links")
     if more.take(1):
@@ -309,7 +318,13 @@ def _sifted(pairs: DataFrame, facts: DataFrame, rule: Rule) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-                near = _far_apart(_packed(batch.column("sa")), _packed(batch.column("sb"))) <= rule.most_apart(total)
+                left, right = batch.column("sa").to_pylist(), batch.column("sb").to_pylist()
+                sizes = np.array([min(len(x), len(y)) for x, y in zip(left, right)])
+                near = np.zeros(len(sizes), bool)
+                for size in np.unique(sizes).tolist():
+                    rows = np.flatnonzero(sizes == size)
+                    apart = _apart(_folded([left[i] for i in rows], size), _folded([right[i] for i in rows], size))
+                    near[rows] = apart <= rule.most_apart(total[rows])
                 yield batch.filter(pa.array(near)).select(["a", "b", "ra", "rb"])
 
     joined = pairs.join(left, "a").join(right, "b")
@@ -331,8 +346,16 @@ def _open_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
 
     def compare(table: pa.Table) -> pa.Table:
         node, rep, root, size = (table.column(c).to_numpy() for c in ("node", "rep", "root", "n"))
-        block, sketch = table.column("_own").to_numpy(), _packed(table.column("sketch"))
+        block, key = table.column("_own").to_numpy(), table.column("key")[0].as_py()
         same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        keys, raw = [set(k) for k in table.column("keys").to_pylist()], table.column("sketch").to_pylist()
+        length = np.fromiter(map(len, raw), np.int64, len(raw))
+        folded = {}
+        for bytes_ in np.unique(length).tolist():
+            rows = np.flatnonzero(length >= bytes_)
+            at = np.full(len(raw), -1)
+            at[rows] = np.arange(len(rows))
+            folded[bytes_] = (at, _folded([raw[i] for i in rows], bytes_))
         a, b = [], []
         for x in range(len(node)):
             y = np.arange(x + 1, len(node))
@@ -340,14 +363,21 @@ def _open_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
             total = size[y] + size[x]
             common = rule.least_common(total)
             y = y[common <= np.minimum(size[y], size[x])]
-            y = y[_far_apart(sketch[y], sketch[x]) <= rule.most_apart(size[y] + size[x])]
+            near = np.zeros(len(y), bool)
+            smaller = np.minimum(length[y], length[x])
+            for bytes_ in np.unique(smaller).tolist():
+                at, sketch = folded[bytes_]
+                own = np.flatnonzero(smaller == bytes_)
+                near[own] = _apart(sketch[at[y[own]]], sketch[at[x]][None, :]) <= rule.most_apart(size[y[own]] + size[x])
+            # Of all keys that two nodes share, the least one reports them.
+            y = np.array([j for j in y[near].tolist() if min(keys[x] & keys[j]) == key], np.int64)
             first = node[y] < node[x]
             a.append(np.where(first, y, x))
             b.append(np.where(first, x, y))
         a, b = (np.concatenate(v).astype(np.int64) for v in (a, b))
         return pa.table({"a": node[a], "b": node[b], "ra": rep[a], "rb": rep[b]})
 
-    pairs = dealt.select("key", F.col("_pair.i").alias("i"), F.col("_pair.j").alias("j"), "_own", "node", "rep", "root", "n", "sketch")
+    pairs = dealt.select("key", F.col("_pair.i").alias("i"), F.col("_pair.j").alias("j"), "_own", "node", "rep", "root", "n", "sketch", "keys")
     return pairs.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long, ra long, rb long").distinct()
 
 
