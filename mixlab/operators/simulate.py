@@ -47,7 +47,12 @@ def simulate_spend(dates: DataFrame, channels: Sequence[str], noise: float = 0.1
 
 
 def simulate_external(dates: DataFrame, noise: float = 1.0, seed: int = 42) -> DataFrame:
-    """Confidence, growth, unemployment and the dated flags; ``noise`` 0 removes the noise."""
+    """Confidence, growth, unemployment and the dated flags per date; ``noise`` 0 removes the noise."""
+    return dates.select("date", *external_columns(noise, seed))
+
+
+def external_columns(noise: float = 1.0, seed: int = 42) -> list[Column]:
+    """The simulated factors as expressions of ``date``, for frames that have the dates already."""
 
     def draw(scale: float, tag: str) -> Column:
         return F.lit(scale * noise) * normal(F.col("date"), seed, tag) if noise else F.lit(0.0)
@@ -55,14 +60,13 @@ def simulate_external(dates: DataFrame, noise: float = 1.0, seed: int = 42) -> D
     season = _wave(F.dayofyear("date"), 365)
     growth = F.array(*[F.lit(g) for g in QUARTERLY_GROWTH])
     quarter = F.floor(F.month("date") / 3).cast("int") % len(QUARTERLY_GROWTH)
-    return dates.select(
-        "date",
+    return [
         (F.lit(100.0) + F.lit(5.0) * season + draw(1.0, "confidence")).alias("consumer_confidence"),
         (F.element_at(growth, quarter + 1) + draw(0.1, "growth")).alias("gdp_growth"),
         (F.lit(5.0) + F.lit(0.3) * season + draw(0.05, "unemployment")).alias("unemployment"),
         on_dates(F.col("date"), UK_HOLIDAYS).alias("is_holiday"),
         on_dates(F.col("date"), PROMO_DAYS).alias("is_promo_event"),
-    )
+    ]
 
 
 def demo_transactions(dates: DataFrame, per_day: int = 1, seed: int = 42) -> DataFrame:

@@ -30,6 +30,7 @@ from mixlab.plans.oracle import (
     FULL_CALENDAR,
     HOLIDAY_FLAGS,
     SHORT_CALENDAR,
+    STEPS,
     adstock_sql,
     build,
     dates_sql,
@@ -125,9 +126,9 @@ def country_wide(spark, d, exact: bool = False) -> DataFrame:
 
 
 def panel(spark, d) -> DataFrame:
-    """The panel in one pass over the lines."""
+    """The panel in one pass over the lines; the factors are expressions of its own dates."""
     base = pa.sales_with_spend(lines(spark, d, *SALES_COLUMNS, "channel", "spend"), CHANNELS)
-    return pa.finish_panel(base, CHANNELS, PARAMS, external(spark, d))
+    return pa.finish_panel(base.select("*", *si.external_columns(noise=0)), CHANNELS, PARAMS)
 
 
 def contributions(spark, d) -> DataFrame:
@@ -1233,6 +1234,87 @@ def _train_linear(spark, d):
     return rounded(rounded(fits, 3, "slope", "intercept"), 8, "r2")
 
 
+_FITTED = ("promo_adstock", "standard_adstock")
+_FIT_SQL = build(
+    "SELECT *, my - b1 * m1 - b2 * m2 AS b0 FROM (SELECT *, (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS b1, "
+    "(c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS b2 FROM (SELECT avg(revenue) AS my, avg({0}) AS m1, avg({1}) AS m2, "
+    "covar_pop(revenue, {0}) AS c1, covar_pop(revenue, {1}) AS c2, covar_pop({0}, {1}) AS c12, "
+    "var_pop({0}) AS v1, var_pop({1}) AS v2 FROM panel WHERE date <= DATE '{2}'))".format(*_FITTED, TRAIN_END),
+    "panel",
+)
+
+
+def fitted(spark, d, features=_FITTED):
+    """Least squares on the features over the training days, and the staged panel."""
+    data = stage(panel(spark, d))
+    train, _ = pa.time_split(data, TRAIN_END)
+    return mo.train_linear(train, features), data
+
+
+def fitted_allocation(spark, d, channels) -> DataFrame:
+    """From lines through a fitted model to the budget of the channels."""
+    scorer, data = fitted(spark, d, [f"{c}_adstock" for c in channels])
+    roi = at.median_roi(at.contributions(data, scorer, channels), channels, bounded=True)
+    return bu.allocate_budget(roi, TOTAL, MIN_PCT, MAX_PCT)
+
+
+@query(
+    "train_linear_fit",
+    f"WITH fit AS ({_FIT_SQL}) SELECT 'intercept' AS feature, round(b0, 2) AS coefficient FROM fit UNION ALL "
+    f"SELECT '{_FITTED[0]}', round(b1, 2) FROM fit UNION ALL SELECT '{_FITTED[1]}', round(b2, 2) FROM fit",
+)
+def _train_linear_fit(spark, d):
+    scorer, _ = fitted(spark, d)
+    rows = [("intercept", scorer.intercept), *scorer.coefs.items()]
+    return rounded(spark.createDataFrame(rows, "feature string, coefficient double"), 2)
+
+
+_FITTED_SCORES = (
+    f"WITH fit AS ({_FIT_SQL}), scores AS (SELECT p.date, p.revenue, b0 + b1 * {_FITTED[0]} + b2 * {_FITTED[1]} AS prediction, "
+    f"b1 * {_FITTED[0]} AS promo, b2 * {_FITTED[1]} AS standard FROM ({build('SELECT * FROM panel', 'panel')}) p, fit) "
+)
+
+
+@query(
+    "evaluate_fitted",
+    _FITTED_SCORES + "SELECT round(sqrt(avg((revenue - prediction) * (revenue - prediction))), 3) AS rmse, "
+    f"round(avg(abs(revenue - prediction)), 3) AS mae FROM scores WHERE date > DATE '{TRAIN_END}'",
+)
+def _evaluate_fitted(spark, d):
+    scorer, data = fitted(spark, d)
+    _, test = pa.time_split(data, TRAIN_END)
+    return rounded(mo.evaluate(scorer.predict(test)).select("rmse", "mae"), 3)
+
+
+@query(
+    "contributions_fitted",
+    _FITTED_SCORES + "SELECT date, round(prediction, 2) AS predicted_revenue, round(promo, 2) AS promo_contribution, "
+    "round(standard, 2) AS standard_contribution, round(prediction - promo - standard, 2) AS baseline_contribution FROM scores",
+)
+def _contributions_fitted(spark, d):
+    scorer, data = fitted(spark, d)
+    scored = at.contributions(data, scorer, ("promo", "standard"))
+    names = ("predicted_revenue", "promo_contribution", "standard_contribution", "baseline_contribution")
+    return rounded(scored.select("date", *names), 2)
+
+
+def _fitted_roi_sql() -> str:
+    """The allocation's SQL with the ROI of the fitted model in place of the fixed one."""
+    roi = " UNION ALL ".join(
+        f"SELECT '{c}' AS channel, median({c}_effect / nullif({c}, 0)) AS roi FROM "
+        f"(WITH fit AS ({_FIT_SQL}) SELECT p.*, b1 * {_FITTED[0]} AS promo_effect, b2 * {_FITTED[1]} AS standard_effect FROM panel p, fit)"
+        for c in ("promo", "standard")
+    )
+    whole = build(f"SELECT channel, {rounds(('budget', 'budget_pct'), 2)}, round(roi, 6) AS roi FROM allocation", "allocation")
+    assert STEPS["roi"][1] in whole
+    return whole.replace(STEPS["roi"][1], roi)
+
+
+@query("allocate_budget_fitted", _fitted_roi_sql())
+def _allocate_budget_fitted(spark, d):
+    return rounded(rounded(fitted_allocation(spark, d, ("promo", "standard")), 2, "budget", "budget_pct"), 6, "roi")
+
+
 @query("train_linear_all_features")
 def _train_linear_all(spark, d):
     data = stage(panel(spark, d))
