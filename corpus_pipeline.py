@@ -38,9 +38,9 @@ def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as its source's mix takes it, whole; documents taken no time go."""
     weights = quality_weights(table(spark, sf_dir, "labels"))
-    taken = mix(docs, weights).where("taken > 0").groupBy(F.col("doc_id").alias("_mixed")).agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("_times"))
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_mixed")))
-    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    taken = mix(docs, weights).where("taken > 0").groupBy(F.col("doc_id").alias("__mixed")).agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("__times"))
+    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__mixed")))
+    repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
     return repeated.select(*[repeated[c] for c in docs.columns])
 
 

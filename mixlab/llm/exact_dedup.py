@@ -73,7 +73,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that ``exact_dedup`` keeps, with all their columns."""
-    dropped = exact_dedup(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("_dropped"), F.col("digest").alias("_digest"))
+    dropped = exact_dedup(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("__dropped"), F.col("digest").alias("__digest"))
     full = F.sha2(normalised(F.col(text_col)).cast("binary"), 256)
-    same = F.col(id_col).eqNullSafe(F.col("_dropped")) & (full == F.col("_digest"))
-    return docs.join(dropped, same, "left_anti")
+    same = F.col(id_col).eqNullSafe(F.col("__dropped")) & (full == F.col("__digest"))
+    return bitmaps.without(docs, stage(dropped, "dropped"), F.xxhash64(id_col), F.xxhash64("__dropped"), same)

@@ -457,5 +457,6 @@ def ngram_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id
 def drop_near_copies(docs: DataFrame, rule: Rule = Rule(5, Fraction(8, 10)), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that are the least id of their component, with all their columns. Rows with a null id stay only as the sole rows of theirs."""
     marked = ngram_components(docs, rule, id_col, text_col).where(~F.col(id_col).eqNullSafe(F.col("component_id")))
-    gone = marked.select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    gone = stage(marked.select(F.col(id_col).cast("long").alias("__gone")).distinct(), "gone")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__gone"))
+    return bitmaps.without(docs, gone, F.xxhash64(F.col(id_col).cast("long")), F.xxhash64("__gone"), same)
