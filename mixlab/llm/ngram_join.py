@@ -34,6 +34,7 @@ LEAST_SKETCH = 256
 # Stands for a null id while sets are compared.
 NO_ID = (1 << 63) - 1
 BLOCK = 2000
+_CELLS = 1 << 20
 # The allocation's model: a comparison's cost in index entries, and the share of pairs taken to have half their content in common.
 COMPARE_COST = 0.2
 SHARED_PAIRS = 1e-3
@@ -231,8 +232,11 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _folded(sketches: list[bytes], size: int) -> np.ndarray:
     """Sketches of ``size`` bytes or more, folded to that size, as rows of 64-bit words."""
     out = np.empty((len(sketches), size // 8), np.uint64)
-    for i, sketch in enumerate(sketches):
-        out[i] = np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, size // 8), axis=0)
+    lengths = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    for length in np.unique(lengths).tolist():
+        rows = np.flatnonzero(lengths == length)
+        words = np.frombuffer(b"".join([sketches[i] for i in rows]), np.uint64).reshape(len(rows), -1, size // 8)
+        out[rows] = np.bitwise_xor.reduce(words, axis=1)
     return out
 
 
@@ -348,34 +352,28 @@ def _open_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
         node, rep, root, size = (table.column(c).to_numpy() for c in ("node", "rep", "root", "n"))
         block, key = table.column("_own").to_numpy(), table.column("key")[0].as_py()
         same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-        keys, raw = [set(k) for k in table.column("keys").to_pylist()], table.column("sketch").to_pylist()
-        length = np.fromiter(map(len, raw), np.int64, len(raw))
-        folded = {}
-        for bytes_ in np.unique(length).tolist():
-            rows = np.flatnonzero(length >= bytes_)
-            at = np.full(len(raw), -1)
-            at[rows] = np.arange(len(rows))
-            folded[bytes_] = (at, _folded([raw[i] for i in rows], bytes_))
-        a, b = [], []
-        for x in range(len(node)):
-            y = np.arange(x + 1, len(node))
-            y = y[(root[y] != root[x]) & (same | (block[y] != block[x]))]
-            total = size[y] + size[x]
-            common = rule.least_common(total)
-            y = y[common <= np.minimum(size[y], size[x])]
-            near = np.zeros(len(y), bool)
-            smaller = np.minimum(length[y], length[x])
-            for bytes_ in np.unique(smaller).tolist():
-                at, sketch = folded[bytes_]
-                own = np.flatnonzero(smaller == bytes_)
-                near[own] = _apart(sketch[at[y[own]]], sketch[at[x]][None, :]) <= rule.most_apart(size[y[own]] + size[x])
-            # Of all keys that two nodes share, the least one reports them.
-            y = np.array([j for j in y[near].tolist() if min(keys[x] & keys[j]) == key], np.int64)
-            first = node[y] < node[x]
-            a.append(np.where(first, y, x))
-            b.append(np.where(first, x, y))
-        a, b = (np.concatenate(v).astype(np.int64) for v in (a, b))
-        return pa.table({"a": node[a], "b": node[b], "ra": rep[a], "rb": rep[b]})
+        raw = table.column("sketch").to_pylist()
+        # Sizes that meet in a key differ little: all are compared at the length of the shortest sketch.
+        sketch = _folded(raw, min(map(len, raw)))
+        step = max(1, _CELLS // (len(raw) * sketch.shape[1]))
+        found = []
+        for low in range(0, len(raw), step):
+            own = slice(low, low + step)
+            total = size[own, None] + size[None, :]
+            open_ = (root[own, None] != root[None, :]) & (np.arange(len(raw))[own, None] < np.arange(len(raw))[None, :])
+            open_ &= rule.least_common(total) <= np.minimum(size[own, None], size[None, :])
+            if not same:
+                open_ &= block[own, None] != block[None, :]
+            if open_.any():
+                apart = np.bitwise_count(sketch[own, None, :] ^ sketch[None, :, :]).sum(axis=2, dtype=np.int64)
+                x, y = np.nonzero(open_ & (apart <= rule.most_apart(total)))
+                found += zip((x + low).tolist(), y.tolist())
+        # Of all keys that two nodes share, the least one reports them.
+        column = table.column("keys")
+        keys = {i: set(column[i].as_py()) for i in {i for pair in found for i in pair}}
+        found = [(x, y) if node[x] < node[y] else (y, x) for x, y in found if min(keys[x] & keys[y]) == key]
+        x, y = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table({"a": node[x], "b": node[y], "ra": rep[x], "rb": rep[y]})
 
     pairs = dealt.select("key", F.col("_pair.i").alias("i"), F.col("_pair.j").alias("j"), "_own", "node", "rep", "root", "n", "sketch", "keys")
     return pairs.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long, ra long, rb long").distinct()
