@@ -34,6 +34,7 @@ def simulate_spend(dates: DataFrame, channels: Sequence[str], noise: float = 0.1
     rows = series_index(dates.select("date")).select(
         "date", "series_index", F.inline(channel_list(channels))
     )
+    # Level, season, weekday and trend of the simulated series.
     i = F.col("i")
     base = F.lit(1000.0) * (i + 1)
     season = F.lit(0.3) * _wave(F.month("date") - i, 12) + 1
@@ -57,6 +58,7 @@ def external_columns(noise: float = 1.0, seed: int = 42) -> list[Column]:
     def draw(scale: float, tag: str) -> Column:
         return F.lit(scale * noise) * normal(F.col("date"), seed, tag) if noise else F.lit(0.0)
 
+    # Levels and swings of the simulated factors.
     season = _wave(F.dayofyear("date"), 365)
     growth = F.array(*[F.lit(g) for g in QUARTERLY_GROWTH])
     quarter = F.floor(F.month("date") / 3).cast("int") % len(QUARTERLY_GROWTH)
@@ -69,6 +71,10 @@ def external_columns(noise: float = 1.0, seed: int = 42) -> list[Column]:
     ]
 
 
+DEMO_CODES = ("cup", "lamp", "chair", "shelf")
+DEMO_COUNTRIES = ("Norway", "Chile", "Kenya")
+
+
 def demo_transactions(dates: DataFrame, per_day: int = 1, seed: int = 42) -> DataFrame:
     """Random invoice lines, ``per_day`` of them on each date, drawn from the line's own key."""
     lines = dates.select("date", F.explode(F.sequence(F.lit(0), F.lit(per_day - 1))).alias("n"))
@@ -77,15 +83,15 @@ def demo_transactions(dates: DataFrame, per_day: int = 1, seed: int = 42) -> Dat
     def whole(lo: int, hi: int, tag: str) -> Column:
         return (F.lit(lo) + F.floor(uniform(key, seed, tag) * (hi - lo))).cast("int")
 
-    number = F.concat(F.date_format("date", "yyyyMMdd"), F.lit("_"), F.col("n").cast("string"))
+    number = F.concat(F.date_format("date", "yyyyMMdd"), F.lit("-"), F.col("n").cast("string"))
     drawn = lines.select(
         F.col("date").alias("InvoiceDate"),
-        F.concat(F.lit("INV_"), number).alias("InvoiceNo"),
-        pick(key, seed, "stock", ["A001", "B002", "C003"]).alias("StockCode"),
-        F.concat(F.lit("Sample Product "), number).alias("Description"),
+        F.concat(F.lit("demo-"), number).alias("InvoiceNo"),
+        pick(key, seed, "stock", DEMO_CODES).alias("StockCode"),
+        F.concat(F.lit("Item "), number).alias("Description"),
         whole(1, 10, "quantity").alias("Quantity"),
         (F.lit(10.0) + F.lit(90.0) * uniform(key, seed, "price")).alias("UnitPrice"),
         whole(10000, 99999, "customer").cast("long").alias("CustomerID"),
-        pick(key, seed, "country", ["UK", "France", "Germany"]).alias("Country"),
+        pick(key, seed, "country", DEMO_COUNTRIES).alias("Country"),
     )
     return drawn.withColumn("TotalPrice", F.col("Quantity") * F.col("UnitPrice"))

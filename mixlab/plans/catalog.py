@@ -1137,14 +1137,14 @@ def _demo_sql() -> str:
         listed = ", ".join(f"'{v}'" for v in values)
         return f"(ARRAY[{listed}])[CAST(floor({draw(tag)} * {len(values)}) AS INTEGER) + 1]"
 
-    label = "strftime(date, '%Y%m%d') || '_' || n"
+    label = "strftime(date, '%Y%m%d') || '-' || n"
     price = f"(1.0e1 + 9.0e1 * {draw('price')})"
     quantity = f"CAST(1 + floor({draw('quantity')} * 9) AS INTEGER)"
     return build(
-        f"SELECT date AS InvoiceDate, 'INV_' || {label} AS InvoiceNo, {pick('stock', ['A001', 'B002', 'C003'])} AS StockCode, "
-        f"'Sample Product ' || {label} AS Description, {quantity} AS Quantity, round({price}, 8) AS UnitPrice, "
+        f"SELECT date AS InvoiceDate, 'demo-' || {label} AS InvoiceNo, {pick('stock', si.DEMO_CODES)} AS StockCode, "
+        f"'Item ' || {label} AS Description, {quantity} AS Quantity, round({price}, 8) AS UnitPrice, "
         f"CAST(10000 + floor({draw('customer')} * 89999) AS BIGINT) AS CustomerID, "
-        f"{pick('country', ['UK', 'France', 'Germany'])} AS Country, round({quantity} * {price}, 8) AS TotalPrice "
+        f"{pick('country', si.DEMO_COUNTRIES)} AS Country, round({quantity} * {price}, 8) AS TotalPrice "
         "FROM days CROSS JOIN (VALUES (0), (1), (2)) AS t(n)",
         "days",
     )
