@@ -108,10 +108,17 @@ def sketches(grams: np.ndarray, offsets: np.ndarray) -> list[bytes]:
 
 @dataclass(frozen=True)
 class Scheme:
-    """m segments; the first ``twos`` have allowance 2, the next ``ones`` 1, the rest (if any) 0."""
+    """m segments; the first ``twos`` have allowance 2, the next ``ones`` 1.
+
+    The allowances sum to H + 1 + ``slack``. A set whose empty segments have allowances of
+    no more than half the slack leaves their entries out: what two sets can lose that way
+    is never all that makes them meet, and empty segments, in which unrelated sets meet
+    by chance, are not compared.
+    """
 
     twos: int
     ones: int
+    slack: int = 0
 
 
 def allocate(rule: Rule, edges: list[int], counts: dict[int, tuple[int, float]]) -> dict[int, Scheme]:
@@ -135,14 +142,20 @@ def allocate(rule: Rule, edges: list[int], counts: dict[int, tuple[int, float]])
         size = sum(c * s for c, s in sets) / number
         best = None
         for twos in sorted({(apart + 1) * k // 32 for k in range(16)} | {apart // 2 + 1}):
-            ones = max(0, apart + 1 - 2 * twos)
+            slack = 0
+            for _ in range(2 if apart >= 20 else 0):
+                m = max(1, twos + apart + 1 + slack - 2 * twos)
+                empty = m * np.exp(-0.9 * size / m)
+                slack = 2 * int(np.ceil(empty + 3 * np.sqrt(empty) + 1))
+            ones = max(0, apart + 1 + slack - 2 * twos)
             inside = size / (twos + ones)
             cost = number * (ones + twos * (1 + inside))
-            for part, left in ((1.0, inside), (SHARED_PAIRS, inside * (1 - SHARED_PART))):
+            everyone = () if slack else ((1.0, inside),)
+            for part, left in (*everyone, (SHARED_PAIRS, inside * (1 - SHARED_PART))):
                 meet = np.exp(-2 * left)
                 cost += COMPARE_COST * part * number * number / 2 * meet * (ones + twos * (1 + 2 * left))
             if best is None or cost < best[0]:
-                best = (cost, Scheme(twos, ones))
+                best = (cost, Scheme(twos, ones, slack))
         schemes[g] = best[1]
     return schemes
 
@@ -172,12 +185,16 @@ def entries(grams: np.ndarray, offsets: np.ndarray, sets: np.ndarray, scheme_id:
     inside = np.arange(base[-1]) - base[:-1][owner]
     salt = mix((scheme_id[owner].astype(np.uint64) << np.uint64(40)) + inside.astype(np.uint64) + np.uint64(1))
     whole = mix(subset ^ salt) & ~np.uint64(1)
+    bare = cuts[1:] == cuts[:-1]
+    weight = np.where(inside < twos[owner], 2, 1) * bare
+    slack = np.array([schemes[s].slack for s in scheme_id], np.int64)
+    stays = ~bare | (2 * np.bincount(owner, weight, len(sets)) > slack)[owner]
     double = np.flatnonzero(inside < twos[owner])
     counts = np.diff(cuts)[double]
     at = np.repeat(double, counts)
     from_el = np.repeat(cuts[double] - np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64), counts) + np.arange(len(at)) if len(at) else np.zeros(0, np.int64)
     deleted = mix((subset[at] - values[from_el]) ^ salt[at]) | np.uint64(1)
-    return np.concatenate([whole, deleted]), np.concatenate([owner, owner[at]])
+    return np.concatenate([whole[stays], deleted]), np.concatenate([owner[stays], owner[at]])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int):
