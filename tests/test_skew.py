@@ -79,13 +79,18 @@ def test_quantiles_of_a_hot_channel(spark, hot):
         assert spread[c] == pytest.approx(values)
 
 
-def test_counted_facts_above_the_limit_are_joined_by_shuffle(spark, hot, monkeypatch):
-    from mixlab.operators import facts
-
-    monkeypatch.setattr(facts, "BROADCAST_ROWS", 0)
+def test_facts_are_joined_without_a_hint(spark, hot):
+    """With broadcasts switched off the same quantiles come out of shuffled joins."""
     lines = ca.lines(spark, hot, "channel", "TotalAmount")
-    spread = {r["channel"]: list(r)[1:] for r in pf.quartiles(lines, "TotalAmount", ["channel"]).collect()}
     held = {r["channel"]: list(r)[1:] for r in pf.quartiles(lines, "TotalAmount", ["channel"], bounded=True).collect()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = pf.quartiles(lines, "TotalAmount", ["channel"])
+        spread = {r["channel"]: list(r)[1:] for r in found.collect()}
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     for c, values in held.items():
         assert spread[c] == pytest.approx(values)
 
