@@ -231,6 +231,20 @@ def _preview_rows(spark, d):
     return files.preview_rows(sales(spark, d), 5, ["date"])
 
 
+@query(
+    "append_scenarios",
+    build("SELECT scenario, channel, allocation_pct, total_budget FROM scenarios", "scenarios"),
+)
+def _append_scenarios(spark, d):
+    """Scenarios of odd and of even years, saved one after the other and read back together."""
+    path = staging_path(spark, "scenarios")
+    rows = stage(scenarios(spark, d))
+    odd = F.substring("scenario", 1, 4).cast("int") % 2 == 1
+    files.append_parquet(rows.filter(odd), path)
+    files.append_parquet(rows.filter(~odd), path)
+    return files.scan_parquet(spark, path)
+
+
 @query("write_csv", build("SELECT * FROM sales", "sales"))
 def _write_csv(spark, d):
     path = staging_path(spark, "sales-csv")

@@ -65,7 +65,7 @@ def spend_features(spend: DataFrame, config: MixConfig) -> tuple[DataFrame, list
 
 
 def run_mix(
-    transactions: DataFrame,
+    transactions: DataFrame | None,
     config: MixConfig,
     spend: DataFrame | None = None,
     external: DataFrame | None = None,
@@ -73,8 +73,9 @@ def run_mix(
     max_iter: int | None = None,
     carry_features: bool = False,
     exclude: tuple[str, ...] = (),
+    sales: DataFrame | None = None,
 ) -> MixResult:
-    """Run the analysis of one store's daily series.
+    """Run the analysis of one store's daily series, from invoice lines or from ready daily ``sales``.
 
     Missing spend or external factors are simulated over the sales calendar. The
     transactions are read once: daily sales are staged, and so is the panel,
@@ -84,7 +85,11 @@ def run_mix(
     configuration unless ``max_iter`` is given. Without a training end all days train and
     there are no test metrics.
     """
-    sales = stage(daily_sales(clean_transactions(transactions, config)))
+    if (sales is None) == (transactions is None):
+        raise ValueError("give either transactions or sales")
+    if sales is None:
+        sales = daily_sales(clean_transactions(transactions, config))
+    sales = stage(date_range(sales, config.start_date, config.end_date))
     dates = sales.select("date")
     if spend is None:
         spend = simulate_spend(dates, config.channels, seed=config.seed)

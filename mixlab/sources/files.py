@@ -116,6 +116,11 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def append_parquet(df: DataFrame, path: str) -> None:
+    """Add rows to a saved table, such as one more scenario to those kept so far."""
+    df.write.mode("append").parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

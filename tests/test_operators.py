@@ -726,3 +726,12 @@ def test_stages_can_be_released(spark):
     df = session.stage(series(spark, [1]))
     assert df.count() == 1 and session.release_stages(spark) == 1 and session.release_stages(spark) == 0
     session._staged[:] = held
+
+
+def test_run_from_daily_sales(spark):
+    daily = si.simulate_spend(series(spark, range(60)).select("date"), ["x"]).select("date", F.col("spend").alias("revenue"))
+    config = MixConfig(lags=None, windows=None, train_end_date=str(day(40)))
+    out = run_mix(None, config, trees=False, sales=daily)
+    assert out.metrics.first()["rmse"] >= 0 and out.budget.count() == len(CHANNELS)
+    with pytest.raises(ValueError):
+        run_mix(daily, config, sales=daily)
