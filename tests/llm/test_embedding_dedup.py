@@ -1,5 +1,4 @@
 import numpy as np
-import pytest
 
 from mixlab.llm import embedding_dedup
 from mixlab.llm.embedding_dedup import vector_components
