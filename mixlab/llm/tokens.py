@@ -16,7 +16,7 @@ import pyarrow as pa
 from mixlab.llm.text import Words, chunks
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 500_000
 
 # A digit is always a token of its own here, so it can part words in one call.
 _MARK = "7"
