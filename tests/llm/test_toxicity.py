@@ -75,3 +75,23 @@ def test_given_labels(spark, folder):
     rows = tox.toxicity(docs, labels).withColumn("out", tox.held_out()).join(labels, "doc_id").collect()
     assert len(rows) == labels.count()
     assert np.mean([(r["score"] >= 0.3) == r["toxic"] for r in rows if not r["out"]]) > 0.9
+
+
+def test_thresholds_cover_all_labelled_rows(spark, monkeypatch):
+    """A small training sample leaves no labelled row out of the calibration, and rare languages get a threshold."""
+    seen = {}
+    whole = tox.thresholds
+
+    def spy(scores, labels, langs, share, counts=None):
+        seen["rows"] = (np.ones(len(scores)) if counts is None else counts).sum()
+        return seen.setdefault("limits", whole(scores, labels, langs, share, counts))
+
+    monkeypatch.setattr(tox, "thresholds", spy)
+    docs, labels = data(spark)
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 32 < 5, "rare").otherwise("much"))
+    usable = labels.where(~tox.held_out())
+    for sample in ({}, {"toxic": 60, "clean": 120}):
+        seen.clear()
+        tox.toxicity(docs, labels, **sample)
+        assert seen["rows"] == usable.count()
+        assert set(seen["limits"]) == {None, "rare", "much"}
