@@ -84,3 +84,23 @@ def test_spread_recall(spark):
         rows += [(2 * i, a.tolist()), (2 * i + 1, (c * a + np.sqrt(1 - c * c) * b).tolist())]
     df = spark.createDataFrame([(k, v, 0) for k, v in rows], SCHEMA)
     assert sum(n for _, n, _, _ in got(vector_components(df))) >= 0.9 * len(rows)
+
+
+def test_dense_recall(spark):
+    """Pairs in a crowd with a common direction, where unrelated vectors have a cosine of 0.8."""
+    draw = np.random.default_rng(6)
+    common, dim, rows = np.zeros(64), 64, []
+    common[0] = np.sqrt(0.8)
+    for i in range(10000):
+        # One of the pair, and the other at an exact cosine, both with the same share of the common direction.
+        a, b = (draw.standard_normal(dim) for _ in range(2))
+        a[0] = b[0] = 0
+        a /= np.linalg.norm(a)
+        b -= (a @ b) * a
+        b /= np.linalg.norm(b)
+        c = 1 - (1 - draw.uniform(0.951, 0.96)) / 0.2
+        s = np.sqrt(0.2)
+        rows += [(2 * i, (common + s * a).tolist()), (2 * i + 1, (common + s * (c * a + np.sqrt(1 - c * c) * b)).tolist())]
+    df = spark.createDataFrame([(k, v, 0) for k, v in rows], SCHEMA)
+    least = {r["vec_id"]: r["component_id"] for r in vector_components(df).collect()}
+    assert np.mean([least[2 * i] == least[2 * i + 1] for i in range(10000)]) >= 0.95
