@@ -131,7 +131,7 @@ def allocate(rule: Rule, edges: list[int], counts: dict[int, tuple[int, float]])
     """
     period = rule.threshold.numerator + rule.threshold.denominator
     schemes = {}
-    for g in range(len(edges) - 2):
+    for g in range(len(edges) - 1):
         most = edges[g + 1] - 1
         total = most + int(most / rule.threshold)
         apart = int(rule.most_apart(np.arange(max(2 * edges[g], total - 2 * period), total + 1)).max())

@@ -104,3 +104,20 @@ def test_allowances_cover_the_bound():
             assert 2 * s.twos + s.ones >= worst + 1 + s.slack
     few, many = (allocate(rule, edges, {30: (n, 300.0)}) for n in (10, 10**9))
     assert sum(s.twos for s in few.values()) < sum(s.twos for s in many.values())
+
+
+@pytest.mark.parametrize("part,largest", [(85, 118), (85, 50), (80, 113)])
+def test_largest_sets_have_a_scheme(documents, part, largest):
+    """Pairs at the exact limit, both in the band of the largest sets."""
+    rule = Rule(1, Fraction(part, 100))
+    edges = rule.bands(largest)
+    band = max(g for g, first in enumerate(edges) if first <= largest)
+    scheme = allocate(rule, edges, {band: (10, float(largest))})[band]
+    apart = int(rule.most_apart(2 * largest))
+    assert 2 * scheme.twos + scheme.ones >= apart + 1 + scheme.slack
+    rows = []
+    for i in range(40):
+        words = [f"w{i}x{k}" for k in range(largest + apart // 2)]
+        rows += [(2 * i, " ".join(words[:largest])), (2 * i + 1, " ".join(words[apart // 2 :]))]
+    assert got(ngram_components(documents(rows), rule)) == brute(rows, rule)
+    assert len({c for _, _, c in brute(rows, rule)}) == 40
