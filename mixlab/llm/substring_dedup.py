@@ -138,8 +138,8 @@ def _estimated_repeated(two: np.ndarray, anchors: np.ndarray) -> np.ndarray:
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, depth: int = DEPTH, size: int = CELLS, id_col: str = "doc_id", text_col: str = "text", hot_runs: int = HOT_RUNS) -> DataFrame:
-    """(id, spans): per document the word ranges [start, end) that a document with a smaller id holds, in order."""
-    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), F.col(text_col).alias("text"))
+    """(id, print, spans): per id and hash of the text the word ranges [start, end) that a document with a smaller id holds, in order."""
+    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text_col).alias("print"), F.col(text_col).alias("text"))
     two = source.sparkSession.sparkContext.broadcast(repeated_anchors(source, width, gram, depth, size))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,15 +158,16 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, depth:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).take(pa.array(owner)),
+                        part.column(1).take(pa.array(owner)),
                         pa.array(first[starts] - words.first[owner]),
                         pa.array(signed(anchors[starts])),
                         pa.array(signed(prints)),
                         pa.array([hashes[a:b].tobytes() for a, b in zip(starts, stops)], pa.binary()),
                     ],
-                    names=["id", "start", "anchor", "run", "hashes"],
+                    names=["id", "print", "start", "anchor", "run", "hashes"],
                 )
 
-    found = stage(source.mapInArrow(gather, "id long, start long, anchor long, run long, hashes binary"), "windows")
+    found = stage(source.mapInArrow(gather, "id long, print long, start long, anchor long, run long, hashes binary"), "windows")
     # One row per anchor and run of windows, with the least id that holds it: the copies of
     # a run are counted in the map tasks, and only different runs of an anchor meet.
     runs = stage(found.groupBy("anchor", "run").agg(F.min("id").alias("least"), F.min("hashes").alias("hashes")), "runs")
@@ -248,9 +249,9 @@ def _busy_holders(runs: DataFrame) -> DataFrame:
 def _marked(found: DataFrame, holders: DataFrame, width: int) -> DataFrame:
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, starts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            ids, prints, starts = (batch.column(i).to_numpy() for i in range(3))
             rows, low, high = [], [], []
-            for i, held in enumerate(batch.column(2)):
+            for i, held in enumerate(batch.column(3)):
                 taken = np.frombuffer(held.as_buffer(), np.int64) < ids[i]
                 if taken.any():
                     edges = np.flatnonzero(np.diff(np.concatenate([[False], taken, [False]])))
@@ -258,11 +259,11 @@ def _marked(found: DataFrame, holders: DataFrame, width: int) -> DataFrame:
                         rows.append(i)
                         low.append(starts[i] + a)
                         high.append(starts[i] + b - 1 + width)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[rows] if rows else [], pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=["id", "low", "high"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[rows] if rows else [], pa.int64()) for x in (ids, prints)] + [pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=["id", "print", "low", "high"])
 
-    joined = found.select("id", "start", "anchor", "run").join(holders, ["anchor", "run"]).select("id", "start", "holders")
-    spans = joined.mapInArrow(mark, "id long, low long, high long")
-    return spans.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans"))
+    joined = found.select("id", "print", "start", "anchor", "run").join(holders, ["anchor", "run"]).select("id", "print", "start", "holders")
+    spans = joined.mapInArrow(mark, "id long, print long, low long, high long")
+    return spans.groupBy("id", "print").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans"))
 
 
 def _spans_off(words: Words, at: int, spans: list | None) -> np.ndarray:
@@ -283,12 +284,12 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, depth:
     not wrong.
 
     Null texts have no words; documents with fewer words than a window lose none. A null
-    id counts as the largest. Rows that repeat an id are one document: they do not remove
-    each other's words. An empty table gives an empty result.
+    id counts as the largest. Rows that repeat an id do not remove each other's words; each
+    loses what smaller ids hold of its own text. An empty table gives an empty result.
     """
     spans = repeated_spans(docs, width, gram, depth, size, id_col, text_col, hot_runs)
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), F.col(text_col).alias("text"))
-    joined = keyed.join(spans, "id", "left").select("doc", "text", "spans")
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text_col).alias("print"), F.col(text_col).alias("text"))
+    joined = keyed.join(spans, ["id", "print"], "left").select("doc", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -94,3 +94,10 @@ def test_equal_windows_have_equal_anchors():
     assert len(first) == 4 + 3
     assert hashes[1] == hashes[5] and anchors[1] == anchors[5]
     assert len(set(hashes.tolist())) == 6
+
+
+def test_ranges_stay_with_their_text(documents):
+    """Rows without an id, or with the same one, whose other texts repeat nothing."""
+    shared, own = " ".join(f"s{i}" for i in range(80)), lambda c: " ".join(f"{c}{i}" for i in range(90))
+    rows = [(1, shared), (None, shared + " a"), (None, own("b")), (None, own("c")), (5, "x " + shared), (5, own("d")), (5, "x " + shared)]
+    assert got(remove_repeats(documents(rows))) == brute(rows, 50)
