@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -450,6 +451,14 @@ def _verified(pairs: DataFrame, source: DataFrame, rule: Rule) -> DataFrame:
     return stage(joined.mapInArrow(merge, "a long, b long").distinct(), "verified")
 
 
+def _members(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows (id, n, node, component_id, first) whose sets are not empty, and those (id, n) of empty sets; first is the component's least node."""
+    found, roots = similar_sets(docs, rule, id_col, text_col)
+    filled = found.where("n > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = stage(filled.groupBy("root").agg(F.min("id").alias("component_id"), F.min("node").alias("first")), "least")
+    return filled.join(least, "root"), found.where("n = 0")
+
+
 def ngram_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id (the least id reachable by links, its own included).
 
@@ -460,18 +469,40 @@ def ngram_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id
     no other is there (component_id is then null). Repeated rows repeat the result. An
     empty table gives an empty result.
     """
-    found, roots = similar_sets(docs, rule, id_col, text_col)
-    filled = found.where("n > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = stage(filled.groupBy("root").agg(F.min("id").alias("component_id")), "least")
-    filled = filled.join(least, "root")
-    empty = found.where("n = 0").withColumn("component_id", F.col("id"))
+    filled, empty = _members(docs, rule, id_col, text_col)
+    empty = empty.withColumn("component_id", F.col("id"))
     both = filled.select("id", "n", "component_id").unionByName(empty.select("id", "n", "component_id"))
     return both.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, rule: Rule = Rule(5, Fraction(8, 10)), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are the least id of their component, with all their columns. Rows with a null id stay only as the sole rows of theirs."""
-    marked = ngram_components(docs, rule, id_col, text_col).where(~F.col(id_col).eqNullSafe(F.col("component_id")))
-    gone = stage(marked.select(F.col(id_col).cast("long").alias("__gone")).distinct(), "gone")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__gone"))
-    return bitmaps.without(docs, gone, F.xxhash64(F.col(id_col).cast("long")), F.xxhash64("__gone"), same)
+    """The documents that have the least id of their component, with all their columns.
+
+    Rows go by id and set, so other texts of the same id, or without an id, stay. Rows
+    without an id go if a row of their component has one; of a component without any id
+    one row stays, the least text of its least set. Rows with an empty set stay.
+    """
+    filled, _ = _members(docs, rule, id_col, text_col)
+    nameless = F.col("component_id").isNull()
+    gone = filled.where(F.when(nameless, F.col("node") != F.col("first")).otherwise(~F.col("id").eqNullSafe(F.col("component_id"))))
+    gone = gone.select(F.col("id").alias("__gone"), F.col("node").alias("__node"), F.lit(False).alias("__one")).distinct()
+    several = filled.where(nameless & (F.col("node") == F.col("first"))).groupBy("id", "node").count().where("count > 1")
+    gone = stage(gone.unionByName(several.select(F.col("id").alias("__gone"), F.col("node").alias("__node"), F.lit(True).alias("__one"))), "gone")
+
+    def nodes(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for series in texts:
+            batch = pa.RecordBatch.from_arrays([pa.array(series, pa.string(), from_pandas=True)], names=["text"])
+            parts = [signed(prints) for *_, prints in _sets([batch], rule.n)]
+            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0, np.int64))
+
+    number = F.col(id_col).cast("long")
+    marked = bitmaps.mark(docs, F.xxhash64(number), bitmaps.bitmap(gone, F.xxhash64("__gone")), "__maybe")
+    unsure = marked.where("__maybe").select(*[docs[c] for c in docs.columns]).withColumn("__own", F.pandas_udf(nodes, "long")(F.col(text_col)))
+    same = number.eqNullSafe(F.col("__gone")) & (F.col("__own") == F.col("__node"))
+    stay = marked.where(~F.col("__maybe")).select(*[docs[c] for c in docs.columns])
+    stay = stay.unionAll(unsure.join(gone, same, "left_anti").drop("__own"))
+    if gone.where("__one").take(1):
+        copies = unsure.join(gone.where("__one"), same, "left_semi")
+        one = copies.groupBy("__own").agg(F.min_by(F.struct(*[copies[c] for c in docs.columns]), F.col(text_col)).alias("__row"))
+        stay = stay.unionAll(one.select("__row.*"))
+    return stay

@@ -121,3 +121,16 @@ def test_largest_sets_have_a_scheme(documents, part, largest):
         rows += [(2 * i, " ".join(words[:largest])), (2 * i + 1, " ".join(words[apart // 2 :]))]
     assert got(ngram_components(documents(rows), rule)) == brute(rows, rule)
     assert len({c for _, _, c in brute(rows, rule)}) == 40
+
+
+def test_near_copies_go_by_id_and_set(documents):
+    near = " ".join(f"a{i}" for i in range(60))
+    other, lone, pair, clean = (" ".join(f"{c}{i}" for i in range(60)) for c in "bcde")
+    rows = [
+        (1, near), (None, near + " z"), (None, other), (None, lone), (2, near + " y"), (2, clean),
+        (None, pair), (None, pair + " x"), (None, pair), (None, pair.upper()), (None, None), (None, ""),
+    ]
+    left = sorted((str(r["doc_id"]), r["text"] or "") for r in drop_near_copies(documents(rows)).collect())
+    rest = [x for x in left if not x[1].lower().startswith("d0 ")]
+    assert rest == sorted((str(k), t or "") for k, t in [(1, near), (None, other), (None, lone), (2, clean), (None, None), (None, "")])
+    assert len(left) == len(rest) + 1
