@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from itertools import product
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,7 +17,7 @@ from mixlab.config import BOOSTING_ROUNDS
 from mixlab.functions.carryover import carry_over, geometric_weights, saturate
 from mixlab.functions.stats import correlation_of
 from mixlab.operators.panel import time_folds
-from mixlab.session import shared_dir, stage
+from mixlab.session import stage
 
 
 def feature_columns(df: DataFrame, target: str = "revenue", exclude: Sequence[str] = ()) -> list[str]:
@@ -116,16 +115,8 @@ def simple_linear(
     return df.groupBy(*by).agg(F.array(*rows).alias("rows")).select(*by, F.inline("rows"))
 
 
-def train_gbt(
-    df: DataFrame,
-    features: Sequence[str],
-    target: str = "revenue",
-    max_iter: int = BOOSTING_ROUNDS,
-    max_depth: int = 5,
-    seed: int = 42,
-) -> TreeScorer:
-    """Boosted regression trees; depth 5 has at most 32 leaves."""
-    learner = GBTRegressor(
+def _gbt(max_iter: int, max_depth: int, seed: int) -> GBTRegressor:
+    return GBTRegressor(
         maxIter=max_iter,
         maxDepth=max_depth,
         stepSize=0.05,
@@ -135,29 +126,41 @@ def train_gbt(
         cacheNodeIds=True,
         checkpointInterval=10,
     )
+
+
+def train_gbt(
+    df: DataFrame,
+    features: Sequence[str],
+    target: str = "revenue",
+    max_iter: int = BOOSTING_ROUNDS,
+    max_depth: int = 5,
+    seed: int = 42,
+) -> TreeScorer:
+    """Boosted regression trees; depth 5 has at most 32 leaves."""
+    learner = _gbt(max_iter, max_depth, seed)
     return TreeScorer(learner.fit(_training_rows(df, features, target)), list(features))
 
 
+_fitted: dict[tuple, TreeScorer] = {}
+
+
 def saved_gbt(
-    df: DataFrame, features: Sequence[str], target: str = "revenue", max_iter: int = BOOSTING_ROUNDS, seed: int = 42
+    df: DataFrame, features: Sequence[str], target: str = "revenue", max_iter: int = BOOSTING_ROUNDS, max_depth: int = 5, seed: int = 42
 ) -> TreeScorer:
-    """``train_gbt``, or the model that an earlier call saved for the same rows and parameters.
+    """``train_gbt``, or the model that this application fitted before on the same rows with the same parameters.
 
-    The name of the saved model holds a checksum of the training rows, so other rows are
-    fitted anew. ``df`` is read once more for it and should be staged.
+    Rows are compared by their number and the sum of their hashes, so other rows are
+    fitted anew, also if they differ only in how often a row repeats. Nothing is kept
+    beyond the application. ``df`` is read once more for it and should be staged.
     """
     cells = F.xxhash64(*[F.col(c).cast("double") for c in (*features, target)])
-    rows, mark = df.agg(F.count("*"), F.bit_xor(cells)).first()
-    names = zlib.crc32("|".join([*features, target]).encode())
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/mixlab-gbt-{rows}-{mark}-{names}-{max_iter}-{seed}"
-    try:
-        return TreeScorer(GBTRegressionModel.load(path), list(features))
-    except Exception as error:  # noqa: BLE001 - nothing saved yet
-        if "does not exist" not in str(error) and "FileNotFound" not in str(error) and "PATH_NOT_FOUND" not in str(error):
-            raise
-    scorer = train_gbt(df, features, target, max_iter, seed=seed)
-    scorer.model.write().overwrite().save(path)
-    return scorer
+    rows, mark = df.agg(F.count("*"), F.sum(cells.cast("decimal(20,0)"))).first()
+    params = _gbt(max_iter, max_depth, seed).extractParamMap()
+    learner = tuple(sorted((p.name, str(value)) for p, value in params.items()))
+    key = (df.sparkSession.sparkContext.applicationId, rows, mark, tuple(features), target, learner)
+    if key not in _fitted:
+        _fitted[key] = train_gbt(df, features, target, max_iter, max_depth, seed)
+    return _fitted[key]
 
 
 def importance(spark, scorer: TreeScorer) -> DataFrame:

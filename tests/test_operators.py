@@ -735,3 +735,13 @@ def test_run_from_daily_sales(spark):
     assert out.metrics.first()["rmse"] >= 0 and out.budget.count() == len(CHANNELS)
     with pytest.raises(ValueError):
         run_mix(daily, config, sales=daily)
+
+
+def test_shared_gbt_tells_repeated_rows_and_ends_with_the_application(spark):
+    rows = [(float(i), float(i % 7)) for i in range(40)]
+    one, other = (spark.createDataFrame(rows + extra, "tv double, revenue double") for extra in ([(5.0, 90.0)] * 2, [(30.0, 1.0)] * 2))
+    first = mo.saved_gbt(one, ["tv"], max_iter=2)
+    assert mo.saved_gbt(one, ["tv"], max_iter=2) is first
+    again = mo.saved_gbt(other, ["tv"], max_iter=2)
+    assert again is not first and again.predict(one).collect() != first.predict(one).collect()
+    assert mo.saved_gbt(one, ["tv"], max_iter=2, max_depth=1) is not first
