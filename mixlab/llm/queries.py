@@ -7,16 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mixlab.llm.checks import PREFIX_TRIE, vector_codes_sql, winnowing_sql
 from mixlab.llm.embedding_dedup import vector_components
 from mixlab.llm.exact_dedup import exact_dedup
 from mixlab.llm.mixing import mix
 from mixlab.llm.ngram_join import ngram_components
 from mixlab.llm.packing import pack
+from mixlab.llm.prefix_trie import prefix_trie
 from mixlab.llm.sharding import shard
 from mixlab.llm.substring_dedup import remove_repeats
 from mixlab.llm.token_counts import token_counts
 from mixlab.llm.toxicity import held_out, toxicity
+from mixlab.llm.vector_codes import vector_codes
 from mixlab.llm.warc import archive_round_trip
+from mixlab.llm.winnowing import edited_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -158,3 +162,18 @@ def op6_toxicity(spark, d) -> DataFrame:
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "rejected"
     )
+
+
+@query("op11_vector_codes", vector_codes_sql())
+def op11_vector_codes(spark, d) -> DataFrame:
+    return vector_codes(table(spark, d, "embeddings"))
+
+
+@query("op12_prefix_trie", PREFIX_TRIE)
+def op12_prefix_trie(spark, d) -> DataFrame:
+    return prefix_trie(table(spark, d, "conversations"))
+
+
+@query("op13_winnowing", winnowing_sql())
+def op13_winnowing(spark, d) -> DataFrame:
+    return edited_fingerprints(table(spark, d, "documents"))
