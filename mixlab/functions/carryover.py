@@ -17,13 +17,16 @@ def geometric_weights(decay_rate: float = 0.7, max_lag: int = 10) -> list[float]
 def weibull_weights(shape: float = 2.0, scale: float = 7.0, max_lag: int = 30) -> list[float]:
     """Weibull density at lags 0..max_lag-1, scaled to sum to 1.
 
-    A shape below 1 has no finite density at lag 0, so it is refused.
+    A shape below 1 has no finite density at lag 0, so it is refused, and so are lags that
+    end before the density starts (a shape above 1 with lag 0 alone).
     """
     if shape < 1:
         raise ValueError("weibull carry-over needs shape >= 1")
     ratios = [lag / scale for lag in range(max_lag)]
     density = [(shape / scale) * r ** (shape - 1) * math.exp(-(r**shape)) for r in ratios]
     total = sum(density)
+    if total <= 0:
+        raise ValueError("weibull carry-over needs more lags for this shape")
     return [d / total for d in density]
 
 

@@ -25,6 +25,7 @@ from mixlab.functions.calendar import (
     flag,
     on_dates,
 )
+from mixlab.operators.blocks import positions
 
 
 def lag_features(
@@ -67,9 +68,8 @@ def rolling_features(
 
 
 def series_index(df: DataFrame, id_cols: Sequence[str] = (), date_col: str = "date") -> DataFrame:
-    """0-based position of the row in its series."""
-    w = W.partitionBy(*id_cols).orderBy(date_col)
-    return df.withColumn("series_index", F.row_number().over(w) - 1)
+    """0-based position of the row in its series, by counted offsets: no task sorts a whole series."""
+    return positions(df, "_at", id_cols, [date_col]).withColumn("series_index", F.col("_at").cast("int")).drop("_at")
 
 
 def seasonality(df: DataFrame, pi: str = "short", date_col: str = "date") -> DataFrame:

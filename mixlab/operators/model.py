@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from itertools import product
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,7 +16,8 @@ from pyspark.sql.types import NumericType
 from mixlab.config import BOOSTING_ROUNDS
 from mixlab.functions.carryover import carry_over, geometric_weights, saturate
 from mixlab.functions.stats import correlation_of
-from mixlab.operators.panel import time_folds
+from mixlab.operators.gram import coefficients, earlier_blocks, fit_blocks, gram_blocks, score_by
+from mixlab.operators.panel import fold_rows
 from mixlab.session import stage
 
 
@@ -93,9 +94,14 @@ class TreeScorer:
 
 
 def train_linear(df: DataFrame, features: Sequence[str], target: str = "revenue") -> LinearScorer:
-    """Least squares over all features by the normal equations, summed on the executors."""
-    fitted = LinearRegression(solver="normal").fit(_training_rows(df, features, target))
-    return LinearScorer(float(fitted.intercept), dict(zip(features, map(float, fitted.coefficients))))
+    """Least squares over all features by the normal equations, from one aggregate over the rows.
+
+    Rows with a null or NaN in a feature or the target are left out; without any left, all is 0.
+    """
+    row = fit_blocks(gram_blocks(df, [*features, target]), features).first()
+    if row is None:
+        return LinearScorer(0.0, dict.fromkeys(features, 0.0))
+    return LinearScorer(float(row["intercept"]), dict(zip(features, map(float, row["slopes"]))))
 
 
 def simple_linear(
@@ -184,14 +190,32 @@ def evaluate(df: DataFrame, y: str = "revenue", yhat: str = "prediction", by: Se
 
 
 def cross_validate(
-    df: DataFrame, features: Sequence[str], target: str = "revenue", k: int = 3, fit: Callable | None = None
+    df: DataFrame,
+    features: Sequence[str],
+    target: str = "revenue",
+    k: int = 3,
+    fit: Callable | None = None,
+    id_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """Metrics per test block of expanding-window validation; one fit per fold, by ``fit`` (linear by default)."""
-    df = stage(df)
-    staged = stage(df.join(time_folds(df, k), "date"))
+    """(ids, fold, rmse, mae, r2, mape) per test block of expanding-window validation.
+
+    Linear models, the default, are fitted for all ids and folds in one pass (``gram``), and
+    another one scores the test rows. ``fit`` gives any other learner, with a fit per fold of
+    the whole series; it takes no ids.
+    """
+    if fit is not None and id_cols:
+        raise ValueError("only linear models are fitted by id")
+    staged = stage(fold_rows(stage(df), k, id_cols))
+    if fit is None:
+        width = len(features) + 1
+        blocks = gram_blocks(staged, [*features, target], [*id_cols, "fold"])
+        fits = earlier_blocks(blocks, width, id_cols, "fold").select(*id_cols, "fold", coefficients(F.col("earlier"), width).alias("f"))
+        fits = stage(fits.filter("fold >= 0 and f is not null").select(*id_cols, "fold", "f.*"))
+        scored = score_by(staged.filter("fold >= 0"), fits, features, [*id_cols, "fold"])
+        return evaluate(scored.filter(F.col("prediction").isNotNull()), target, "prediction", [*id_cols, "fold"])
     scored = None
     for fold in range(k):
-        scorer = (fit or train_linear)(staged.filter(F.col("fold") < fold), features, target)
+        scorer = fit(staged.filter(F.col("fold") < fold), features, target)
         block = scorer.predict(staged.filter(F.col("fold") == fold)).select("fold", target, "prediction")
         scored = block if scored is None else scored.unionByName(block)
     return evaluate(scored, target, "prediction", ["fold"])

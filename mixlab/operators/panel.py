@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mixlab.functions.noise import uniform
+from mixlab.operators.blocks import positions
 from mixlab.operators.channels import channel_transform
 from mixlab.operators.features import panel_calendar
 from mixlab.operators.prep import zero_fill
@@ -141,20 +141,26 @@ def random_split(
     return df.filter(low), df.filter(~low)
 
 
-def time_folds(df: DataFrame, k: int = 3) -> DataFrame:
-    """(date, fold): the test block of each date in expanding-window validation.
+def time_folds(df: DataFrame, k: int = 3, id_cols: Sequence[str] = ()) -> DataFrame:
+    """(ids, date, fold): the test block of each date in expanding-window validation, per series.
 
     With n dates in k+1 parts, the last k blocks of m = n // (k+1) dates are test
     blocks 0..k-1; earlier dates (fold -1) only train. Dates are made distinct
-    first, so the ordered window holds one row per calendar day.
+    first and numbered by ``positions``, so no window holds a whole calendar.
     """
-    ordered = W.orderBy("date")
-    everything = W.partitionBy(F.lit(0))
-    ranked = df.select("date").distinct().withColumns(
-        {"_r": F.row_number().over(ordered) - 1, "_n": F.count("*").over(everything)}
-    )
+    ranked = positions(df.select(*id_cols, "date").distinct(), "_r", id_cols, total="_n")
     size = F.floor(F.col("_n") / (k + 1))
     first = F.col("_n") - k * size
     block = F.floor((F.col("_r") - first) / F.nullif(size, F.lit(0))).cast("int")
     fold = F.when((size > 0) & (F.col("_r") >= first), block).otherwise(-1)
-    return ranked.select("date", fold.alias("fold"))
+    return ranked.select(*id_cols, "date", fold.alias("fold"))
+
+
+def fold_rows(df: DataFrame, k: int = 3, id_cols: Sequence[str] = ()) -> DataFrame:
+    """The rows with the ``fold`` of their date; ``df`` is read twice and should be staged."""
+    folds = time_folds(df, k, id_cols)
+    named = folds.select(*[F.col(c).alias(f"_on_{i}") for i, c in enumerate([*id_cols, "date"])], "fold")
+    same = F.lit(True)
+    for i, c in enumerate([*id_cols, "date"]):
+        same &= F.col(c).eqNullSafe(F.col(f"_on_{i}"))
+    return df.join(named, same).drop(*[f"_on_{i}" for i in range(len(id_cols) + 1)])

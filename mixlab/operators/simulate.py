@@ -25,14 +25,16 @@ def channel_list(channels: Sequence[str]) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("channel")) for i, c in enumerate(channels)])
 
 
-def simulate_spend(dates: DataFrame, channels: Sequence[str], noise: float = 0.1, seed: int = 42) -> DataFrame:
-    """(date, channel, spend) with season, weekday, trend and +-``noise``.
+def simulate_spend(
+    dates: DataFrame, channels: Sequence[str], noise: float = 0.1, seed: int = 42, id_cols: Sequence[str] = ()
+) -> DataFrame:
+    """(ids, date, channel, spend) with season, weekday, trend and +-``noise``.
 
-    ``dates`` holds each date once. The row number runs over that calendar, and
-    each date is then expanded into its channels inside the task.
+    ``dates`` holds each date of a series once. The row number runs over that calendar, and
+    each date is then expanded into its channels inside the task. Series draw their own noise.
     """
-    rows = series_index(dates.select("date")).select(
-        "date", "series_index", F.inline(channel_list(channels))
+    rows = series_index(dates.select(*id_cols, "date"), id_cols).select(
+        *id_cols, "date", "series_index", F.inline(channel_list(channels))
     )
     # Level, season, weekday and trend of the simulated series.
     i = F.col("i")
@@ -42,9 +44,9 @@ def simulate_spend(dates: DataFrame, channels: Sequence[str], noise: float = 0.1
     trend = F.lit(1.0) + F.lit(0.001) * (i % 3) * F.col("series_index")
     spend = base * season * weekday * trend
     if noise:
-        draw = uniform(F.concat_ws("|", "date", "channel"), seed, "spend")
+        draw = uniform(F.concat_ws("|", *id_cols, "date", "channel"), seed, "spend")
         spend = spend * (F.lit(1.0 - noise) + F.lit(2.0 * noise) * draw)
-    return rows.select("date", "channel", F.round(spend, 2).alias("spend"))
+    return rows.select(*id_cols, "date", "channel", F.round(spend, 2).alias("spend"))
 
 
 def simulate_external(dates: DataFrame, noise: float = 1.0, seed: int = 42) -> DataFrame:

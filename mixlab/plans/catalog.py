@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from mixlab.config import CHANNELS as MEDIA
 from mixlab.config import BOOSTING_ROUNDS, DEFAULT_LAGS, DEFAULT_WINDOWS, IMPORTANCE_ROUNDS
 from mixlab.functions.calendar import PROMO_DAYS, UK_HOLIDAYS, WEEKDAYS
-from mixlab.functions.carryover import geometric_weights, saturate, weibull_weights
+from mixlab.functions.carryover import channel_weights, geometric_weights, saturate, weibull_weights
 from mixlab.operators import attribution as at
+from mixlab.operators import blocks as bl
 from mixlab.operators import budget as bu
 from mixlab.operators import features as fe
+from mixlab.operators import gram as gr
 from mixlab.operators import model as mo
 from mixlab.operators import panel as pa
 from mixlab.operators import prep as pr
@@ -34,7 +36,9 @@ from mixlab.plans.oracle import (
     adstock_sql,
     build,
     dates_sql,
+    fitted_value,
     hill_sql,
+    least_squares,
     number,
     rounds,
     total,
@@ -956,6 +960,38 @@ def _mixed_sql() -> str:
     )
 
 
+_EVENT_WEIGHTS = geometric_weights(0.6, 8)
+
+
+@query(
+    "carry_over_in_blocks",
+    f"SELECT event_id, round({adstock_sql('value', _EVENT_WEIGHTS, 'w')}, 8) AS adstock, "
+    "round(avg(value) OVER (ORDER BY ts, event_id ROWS 7 PRECEDING), 8) AS value_avg_7d FROM events WINDOW w AS (ORDER BY ts, event_id)",
+)
+def _carry_over_in_blocks(spark, d):
+    """All events as one series, cut into blocks: carry-over and a rolling mean over rows."""
+
+    def both(rows, ids):
+        keyed = rows.withColumn("_order", F.struct("ts", "event_id"))
+        carried = adstock(keyed, "value", _EVENT_WEIGHTS, ids, "_order")
+        return fe.rolling_features(carried, ["value"], [7], ids, date_col="_order")
+
+    events = table(spark, d, "events").select("event_id", "ts", "value")
+    out = bl.in_blocks(events, both, 7, order=["ts", "event_id"], rows=5000, days=1)
+    return rounded(out.select("event_id", "adstock", "value_avg_7d"), 8)
+
+
+@query(
+    "channel_transform_in_blocks",
+    build(f"SELECT date, {rounds(ADSTOCKS, 8)} FROM panel", "panel"),
+)
+def _channel_transform_in_blocks(spark, d):
+    daily = stage(pr.zero_fill(wide(spark, d), ["date"]))
+    halo = max(len(channel_weights(p)) for p in PARAMS.values()) - 1
+    out = bl.in_blocks(daily, lambda rows, ids: channel_transform(rows, CHANNELS, PARAMS, ids), halo, rows=200, days=100)
+    return rounded(out.select("date", *ADSTOCKS), 8)
+
+
 @query("channel_transform", _mixed_sql())
 def _channel_transform(spark, d):
     out = channel_transform(country_wide(spark, d), list(_MIXED) + ["promo", "absent"], _MIXED, ["Country"])
@@ -1248,17 +1284,11 @@ def _train_linear(spark, d):
     return rounded(rounded(fits, 3, "slope", "intercept"), 8, "r2")
 
 
-_FITTED = ("promo_adstock", "standard_adstock")
-_FIT_SQL = build(
-    "SELECT *, my - b1 * m1 - b2 * m2 AS b0 FROM (SELECT *, (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS b1, "
-    "(c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS b2 FROM (SELECT avg(revenue) AS my, avg({0}) AS m1, avg({1}) AS m2, "
-    "covar_pop(revenue, {0}) AS c1, covar_pop(revenue, {1}) AS c2, covar_pop({0}, {1}) AS c12, "
-    "var_pop({0}) AS v1, var_pop({1}) AS v2 FROM panel WHERE date <= DATE '{2}'))".format(*_FITTED, TRAIN_END),
-    "panel",
-)
+_FIT_SPLIT = {"train_rows": f"SELECT * FROM panel WHERE date <= DATE '{TRAIN_END}'"}
+_FIT_STEPS = _FIT_SPLIT | least_squares("fit", "train_rows", ADSTOCKS)
 
 
-def fitted(spark, d, features=_FITTED):
+def fitted(spark, d, features=ADSTOCKS):
     """Least squares on the features over the training days, and the staged panel."""
     data = stage(panel(spark, d))
     train, _ = pa.time_split(data, TRAIN_END)
@@ -1274,8 +1304,12 @@ def fitted_allocation(spark, d, channels) -> DataFrame:
 
 @query(
     "train_linear_fit",
-    f"WITH fit AS ({_FIT_SQL}) SELECT 'intercept' AS feature, round(b0, 2) AS coefficient FROM fit UNION ALL "
-    f"SELECT '{_FITTED[0]}', round(b1, 2) FROM fit UNION ALL SELECT '{_FITTED[1]}', round(b2, 2) FROM fit",
+    build(
+        "SELECT 'intercept' AS feature, round(b0, 2) AS coefficient FROM fit"
+        + "".join(f" UNION ALL SELECT '{f}', round(b{i + 1}, 2) FROM fit" for i, f in enumerate(ADSTOCKS)),
+        "panel",
+        **_FIT_STEPS,
+    ),
 )
 def _train_linear_fit(spark, d):
     scorer, _ = fitted(spark, d)
@@ -1283,16 +1317,22 @@ def _train_linear_fit(spark, d):
     return rounded(spark.createDataFrame(rows, "feature string, coefficient double"), 2)
 
 
-_FITTED_SCORES = (
-    f"WITH fit AS ({_FIT_SQL}), scores AS (SELECT p.date, p.revenue, b0 + b1 * {_FITTED[0]} + b2 * {_FITTED[1]} AS prediction, "
-    f"b1 * {_FITTED[0]} AS promo, b2 * {_FITTED[1]} AS standard FROM ({build('SELECT * FROM panel', 'panel')}) p, fit) "
-)
+_SCORE_STEP = {
+    "scores": f"SELECT p.*, {fitted_value(ADSTOCKS)} AS prediction, "
+    + ", ".join(f"b{i + 1} * {c}_adstock AS {c}_effect" for i, c in enumerate(CHANNELS))
+    + " FROM panel p, fit"
+}
 
 
 @query(
     "evaluate_fitted",
-    _FITTED_SCORES + "SELECT round(sqrt(avg((revenue - prediction) * (revenue - prediction))), 3) AS rmse, "
-    f"round(avg(abs(revenue - prediction)), 3) AS mae FROM scores WHERE date > DATE '{TRAIN_END}'",
+    build(
+        "SELECT round(sqrt(avg((revenue - prediction) * (revenue - prediction))), 3) AS rmse, "
+        f"round(avg(abs(revenue - prediction)), 3) AS mae FROM scores WHERE date > DATE '{TRAIN_END}'",
+        "panel",
+        **_FIT_STEPS,
+        **_SCORE_STEP,
+    ),
 )
 def _evaluate_fitted(spark, d):
     scorer, data = fitted(spark, d)
@@ -1302,39 +1342,128 @@ def _evaluate_fitted(spark, d):
 
 @query(
     "contributions_fitted",
-    _FITTED_SCORES + "SELECT date, round(prediction, 2) AS predicted_revenue, round(promo, 2) AS promo_contribution, "
-    "round(standard, 2) AS standard_contribution, round(prediction - promo - standard, 2) AS baseline_contribution FROM scores",
+    build(
+        "SELECT date, round(prediction, 2) AS predicted_revenue, "
+        + ", ".join(f"round({c}_effect, 2) AS {c}_contribution" for c in CHANNELS)
+        + f", round(prediction - ({total(f'{c}_effect' for c in CHANNELS)}), 2) AS baseline_contribution FROM scores",
+        "panel",
+        **_FIT_STEPS,
+        **_SCORE_STEP,
+    ),
 )
 def _contributions_fitted(spark, d):
     scorer, data = fitted(spark, d)
-    scored = at.contributions(data, scorer, ("promo", "standard"))
-    names = ("predicted_revenue", "promo_contribution", "standard_contribution", "baseline_contribution")
-    return rounded(scored.select("date", *names), 2)
+    scored = at.contributions(data, scorer, CHANNELS)
+    return rounded(scored.select("date", "predicted_revenue", *PARTS), 2)
 
 
 def _fitted_roi_sql() -> str:
     """The allocation's SQL with the ROI of the fitted model in place of the fixed one."""
-    roi = " UNION ALL ".join(
-        f"SELECT '{c}' AS channel, median({c}_effect / nullif({c}, 0)) AS roi FROM "
-        f"(WITH fit AS ({_FIT_SQL}) SELECT p.*, b1 * {_FITTED[0]} AS promo_effect, b2 * {_FITTED[1]} AS standard_effect FROM panel p, fit)"
-        for c in ("promo", "standard")
-    )
+    steps = ", ".join(f"{name} AS ({sql})" for name, sql in (_FIT_STEPS | _SCORE_STEP).items())
+    roi = " UNION ALL ".join(f"SELECT '{c}' AS channel, median({c}_effect / nullif({c}, 0)) AS roi FROM scores" for c in CHANNELS)
     whole = build(f"SELECT channel, {rounds(('budget', 'budget_pct'), 2)}, round(roi, 6) AS roi FROM allocation", "allocation")
     assert STEPS["roi"][1] in whole
-    return whole.replace(STEPS["roi"][1], roi)
+    return whole.replace(STEPS["roi"][1], f"WITH {steps} {roi}")
 
 
 @query("allocate_budget_fitted", _fitted_roi_sql())
 def _allocate_budget_fitted(spark, d):
-    return rounded(rounded(fitted_allocation(spark, d, ("promo", "standard")), 2, "budget", "budget_pct"), 6, "roi")
+    return rounded(rounded(fitted_allocation(spark, d, CHANNELS), 2, "budget", "budget_pct"), 6, "roi")
+
 
+_ALL_INPUTS = ["transactions", *ADSTOCKS, *_EXT, *_CYCLIC]
 
-@query("train_linear_all_features")
+
+def _metrics_sql(rows: str, by: str = "") -> str:
+    """rmse, mae, r2 and mape of (revenue, prediction) rows, per group if one is named."""
+    error = "(revenue - prediction)"
+    return (
+        f"SELECT {by + ', ' if by else ''}round(sqrt(avg({error} * {error})), 3) AS rmse, round(avg(abs({error})), 3) AS mae, "
+        f"round(1 - sum({error} * {error}) / nullif(var_pop(revenue) * count(*), 0), 6) AS r2, "
+        f"round(avg(abs({error} / nullif(revenue + 1, 0))) * 100, 6) AS mape FROM {rows}" + (f" GROUP BY {by}" if by else "")
+    )
+
+
+def _round_metrics(df: DataFrame) -> DataFrame:
+    return rounded(rounded(df, 3, "rmse", "mae"), 6, "r2", "mape")
+
+
+@query(
+    "train_linear_all_features",
+    build(
+        _metrics_sql(f"(SELECT revenue, {fitted_value(_ALL_INPUTS)} AS prediction FROM panel, fit WHERE date > DATE '{TRAIN_END}')"),
+        "panel",
+        **_FIT_SPLIT,
+        **least_squares("fit", "train_rows", _ALL_INPUTS),
+    ),
+)
 def _train_linear_all(spark, d):
     data = stage(panel(spark, d))
     train, test = pa.time_split(data, TRAIN_END)
-    names = ["transactions", *ADSTOCKS, *_EXT, *_CYCLIC]
-    return mo.evaluate(mo.train_linear(train, names).predict(test))
+    return _round_metrics(mo.evaluate(mo.train_linear(train, _ALL_INPUTS).predict(test)))
+
+
+# One entity is a country and a part type.
+_ENTITY = ["Country", "channel"]
+_ENTITY_INPUTS = ["spend_adstock", "transactions", "is_weekend"]
+
+
+def entities(spark, d) -> DataFrame:
+    """Daily revenue, transactions, carried-over spend and weekend flag of every (Country, channel)."""
+    rows = lines(spark, d, *_ENTITY, "InvoiceDate", "InvoiceNo", "TotalAmount", "spend")
+    daily = rows.groupBy(*_ENTITY, F.col("InvoiceDate").alias("date")).agg(
+        F.sum("TotalAmount").cast("double").alias("revenue"), F.count("InvoiceNo").alias("transactions"), F.sum("spend").cast("double").alias("spend")
+    )
+    return fe.panel_calendar(adstock(daily, "spend", geometric_weights(0.5, 5), _ENTITY, name="spend_adstock"))
+
+
+@query(
+    "train_linear_by",
+    build(
+        "SELECT Country, channel, n, round(b0, 2) AS intercept, "
+        + ", ".join(f"round(b{i + 1}, 4) AS {c}_slope" for i, c in enumerate(_ENTITY_INPUTS))
+        + " FROM fit",
+        "entities",
+        **least_squares("fit", "entities", _ENTITY_INPUTS, by=_ENTITY),
+    ),
+)
+def _train_linear_by(spark, d):
+    fits = gr.train_linear_by(entities(spark, d), _ENTITY_INPUTS, _ENTITY)
+    slopes = [F.round(F.get("slopes", F.lit(i)), 4).alias(f"{c}_slope") for i, c in enumerate(_ENTITY_INPUTS)]
+    return fits.select(*_ENTITY, "n", F.round("intercept", 2).alias("intercept"), *slopes)
+
+
+def _folds_sql(rows: str, k: int, by: str = "") -> dict[str, str]:
+    """``tested``: the rows with their fold; ``train_rows``: those before each fold, under its number."""
+    over = f"PARTITION BY {by}" if by else ""
+    keys = f"{by}, date" if by else "date"
+    ranked = (
+        f"SELECT {keys}, row_number() OVER ({over} ORDER BY date) - 1 AS r, count(*) OVER ({over}) AS n, count(*) OVER ({over}) // {k + 1} AS m "
+        f"FROM (SELECT DISTINCT {keys} FROM {rows})"
+    )
+    fold = f"CASE WHEN m > 0 AND r >= n - {k} * m THEN CAST(floor((r - (n - {k} * m)) / m) AS INTEGER) ELSE -1 END"
+    return {
+        "folds": f"SELECT {keys}, {fold} AS fold FROM ({ranked})",
+        "tested": f"SELECT p.*, f.fold FROM {rows} p JOIN folds f USING ({keys})",
+        "train_rows": f"SELECT t.* EXCLUDE (fold), CAST(g.fold AS INTEGER) AS fold FROM tested t JOIN range(0, {k}) g(fold) ON t.fold < g.fold",
+    }
+
+
+@query(
+    "cross_validate_by",
+    build(
+        "SELECT t.Country, t.channel, t.fold, any_value(f.n) AS n_train, count(*) AS n, "
+        f"round(sqrt(avg(power(revenue - ({fitted_value(_ENTITY_INPUTS)}), 2))), 3) AS rmse, "
+        f"round(1 - sum(power(revenue - ({fitted_value(_ENTITY_INPUTS)}), 2)) / nullif(var_pop(revenue) * count(*), 0), 6) AS r2 "
+        "FROM tested t JOIN fit f USING (Country, channel, fold) GROUP BY t.Country, t.channel, t.fold",
+        "entities",
+        **_folds_sql("entities", 3, "Country, channel"),
+        **least_squares("fit", "train_rows", _ENTITY_INPUTS, by=[*_ENTITY, "fold"]),
+    ),
+)
+def _cross_validate_by(spark, d):
+    rows = pa.fold_rows(stage(entities(spark, d)), 3, _ENTITY)
+    return rounded(rounded(gr.cross_validate_by(rows, _ENTITY_INPUTS, _ENTITY), 3, "rmse"), 6, "r2")
 
 
 @query("feature_importance")
@@ -1400,6 +1529,11 @@ def _actual_vs_predicted(spark, d):
     return rounded(at.actual_vs_predicted(panel(spark, d), SCORER), 4, "predicted").orderBy("date")
 
 
+@query("time_folds_by", build("SELECT * FROM folds", "country_sales", **{"folds": _folds_sql("country_sales", 4, "Country")["folds"]}))
+def _time_folds_by(spark, d):
+    return pa.time_folds(country_sales(spark, d).select("Country", "date"), 4, ["Country"])
+
+
 @query(
     "time_folds",
     build(
@@ -1412,9 +1546,20 @@ def _time_folds(spark, d):
     return pa.time_folds(days(spark, d), 3)
 
 
-@query("cross_validate")
+_CV_INPUTS = ["transactions", *ADSTOCKS]
+
+
+@query(
+    "cross_validate",
+    build(
+        _metrics_sql(f"(SELECT fold, revenue, {fitted_value(_CV_INPUTS)} AS prediction FROM tested JOIN fit USING (fold))", "fold"),
+        "panel",
+        **_folds_sql("panel", 3),
+        **least_squares("fit", "train_rows", _CV_INPUTS, by=["fold"]),
+    ),
+)
 def _cross_validate(spark, d):
-    return mo.cross_validate(panel(spark, d), ["transactions", *ADSTOCKS], k=3)
+    return _round_metrics(mo.cross_validate(panel(spark, d), _CV_INPUTS, k=3))
 
 
 def _search_sql() -> str:

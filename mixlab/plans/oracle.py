@@ -6,7 +6,7 @@ import math
 
 from mixlab.config import CHANNELS as MEDIA
 from mixlab.functions.calendar import FIXED_HOLIDAYS, PROMO_DAYS, SHORT_PI, UK_HOLIDAYS
-from mixlab.functions.carryover import channel_weights
+from mixlab.functions.carryover import channel_weights, geometric_weights
 from mixlab.operators.simulate import QUARTERLY_GROWTH
 from mixlab.plans.settings import CHANNELS, COEFS, INTERCEPT, MAX_PCT, MIN_PCT, PARAMS, TOTAL
 
@@ -96,6 +96,16 @@ SELECT InvoiceDate AS date, CAST(sum(TotalAmount) AS DOUBLE) AS revenue,
        count(InvoiceNo) AS transactions, count(CustomerID) AS unique_customers
 FROM retail GROUP BY 1""")
 
+_step("entity_days", ("retail",), """
+SELECT Country, channel, InvoiceDate AS date, CAST(sum(TotalAmount) AS DOUBLE) AS revenue, count(InvoiceNo) AS transactions,
+       CAST(sum(spend) AS DOUBLE) AS spend
+FROM retail GROUP BY 1, 2, 3""")
+
+_step("entities", ("entity_days",), f"""
+SELECT *, {adstock_sql('spend', geometric_weights(0.5, 5), 'w')} AS spend_adstock,
+       CASE WHEN dayofweek(date) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend
+FROM entity_days WINDOW w AS (PARTITION BY Country, channel ORDER BY date)""")
+
 _step("country_sales", ("retail",), """
 SELECT Country, InvoiceDate AS date, CAST(sum(TotalAmount) AS DOUBLE) AS revenue,
        count(InvoiceNo) AS transactions, count(CustomerID) AS unique_customers
@@ -217,6 +227,44 @@ SELECT date, channel, i,
   * (1.0e0 + 1.0e-3 * (i % 3) * (row_number() OVER (PARTITION BY channel ORDER BY date) - 1)) AS clean
 FROM days CROSS JOIN (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(MEDIA))}) AS t(i, channel)""")
 
+
+
+def least_squares(name: str, source: str, features, target: str = "revenue", by=()) -> dict[str, str]:
+    """Steps by elimination on scaled covariances; the last one, ``name``, has (by, n, b0, b1, ..., spread)."""
+    size, tol = len(features), number(1e-9)
+    x = [*features, target]
+    keys = ", ".join(by)
+    lead = f"{keys}, " if by else ""
+    means = [f"avg({c}) AS m{i}" for i, c in enumerate(x)]
+    products = [f"covar_pop({x[i]}, {x[j]}) AS c{i}_{j}" for i in range(size + 1) for j in range(i, size + 1)]
+    present = " AND ".join(f"{c} IS NOT NULL" for c in x)
+    steps = {
+        f"{name}_m": f"SELECT {lead}count(*) AS n, {', '.join(means + products)} FROM {source} WHERE {present}"
+        + (f" GROUP BY {keys}" if by else "")
+    }
+    scale = [f"nullif(sqrt(c{i}_{i}), 0)" for i in range(size)]
+    unit = [f"coalesce(c{i}_{j} / {scale[i]} / {scale[j]}, 0) AS a{i}_{j}" for i in range(size) for j in range(i, size)]
+    unit += [f"coalesce(c{i}_{size} / {scale[i]}, 0) AS r{i}" for i in range(size)]
+    steps[f"{name}_0"] = f"SELECT *, {', '.join(unit)} FROM {name}_m"
+    for c in range(size - 1):
+        swept = [f"CASE WHEN a{c}_{c} > {tol} THEN a{i}_{j} - a{c}_{i} * a{c}_{j} / a{c}_{c} ELSE a{i}_{j} END AS a{i}_{j}" for i in range(c + 1, size) for j in range(i, size)]
+        swept += [f"CASE WHEN a{c}_{c} > {tol} THEN r{i} - a{c}_{i} * r{c} / a{c}_{c} ELSE r{i} END AS r{i}" for i in range(c + 1, size)]
+        steps[f"{name}_{c + 1}"] = f"SELECT * REPLACE ({', '.join(swept)}) FROM {name}_{c}"
+    last = f"{name}_{size - 1}"
+    for i in reversed(range(size)):
+        rest = "".join(f" - a{i}_{j} * v{j}" for j in range(i + 1, size))
+        steps[f"{name}_v{i}"] = f"SELECT *, CASE WHEN a{i}_{i} > {tol} THEN (r{i}{rest}) / a{i}_{i} ELSE 0.0e0 END AS v{i} FROM {last}"
+        last = f"{name}_v{i}"
+    steps[f"{name}_b"] = "SELECT *, " + ", ".join(f"coalesce(v{i} / {scale[i]}, 0.0e0) AS b{i + 1}" for i in range(size)) + f" FROM {last}"
+    offset = "".join(f" - b{i + 1} * m{i}" for i in range(size))
+    steps[name] = f"SELECT {lead}n, m{size}{offset} AS b0, {', '.join(f'b{i + 1}' for i in range(size))}, c{size}_{size} * n AS spread FROM {name}_b"
+    return steps
+
+
+def fitted_value(features) -> str:
+    return "b0" + "".join(f" + b{i + 1} * {c}" for i, c in enumerate(features))
+
+
 HOLIDAY_FLAGS = [
     (name, f"month(date) = {m} AND day(date) = {d}") for m, d, name in FIXED_HOLIDAYS["FR"]
 ]

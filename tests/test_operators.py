@@ -745,3 +745,11 @@ def test_shared_gbt_tells_repeated_rows_and_ends_with_the_application(spark):
     again = mo.saved_gbt(other, ["tv"], max_iter=2)
     assert again is not first and again.predict(one).collect() != first.predict(one).collect()
     assert mo.saved_gbt(one, ["tv"], max_iter=2, max_depth=1) is not first
+
+
+def test_weibull_without_weight_is_refused():
+    from mixlab.functions.carryover import weibull_weights
+
+    with pytest.raises(ValueError):
+        weibull_weights(shape=2.0, max_lag=1)
+    assert weibull_weights(shape=1.0, max_lag=1) == [1.0]
