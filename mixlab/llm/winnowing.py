@@ -21,7 +21,7 @@ BASES = (735632797, 268582165)
 PIECE = 8192
 RUN = 512
 _PLACE = 1 << 32
-ROWS_PER_RANGE = 1_000_000
+ROWS_PER_RANGE = 100_000
 # Repeats of one row are made in two steps of so many.
 REPEAT = 4096
 
@@ -179,9 +179,10 @@ def edited_fingerprints(
     from the start of the next document by id, or by all of a shorter one; the first
     document follows the last. ``near_*`` are the ``likeness`` of fingerprints.
 
-    Texts are fingerprinted where they are scanned and then shuffled once, by document; that
+    Texts are shuffled once, by document, with equal documents combined before; that
     exchange is read twice, first to send each document's start and hashes to the
-    one before it, then to meet what has arrived. No window and no sort sees a text.
+    one before it, then to meet what has arrived. A fingerprint is larger than what it costs
+    to make it again, so the own one is made on both occasions and not shuffled with the text.
 
     A null text is empty. A null id comes after all others; documents with equal ids follow
     each other in the order of a hash of their text, and a repeated row is followed by its equal. What a
@@ -197,18 +198,19 @@ def edited_fingerprints(
         text.alias("text"),
     )
     pairs = followers(keyed.select("id", "g", "z", "h", F.length("text").alias("n_chars")), rows_per_range)
-    whole = keyed.select("g", "z", "h", F.struct("id", "text", fingerprint(F.col("text"), k, window).alias("mark")).alias("doc"))
-    whole = whole.groupBy("g", "z", "h").agg(F.first("doc").alias("doc"))
+    whole = keyed.groupBy("g", "z", "h").agg(F.first(F.struct("id", "text")).alias("doc"))
 
     other = whole.select(*[F.col(c).alias(f"next_{c}") for c in "gzh"], "doc")
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     sent = pairs.join(other, ["next_g", "next_z", "next_h"]).select(
-        "g", "z", "h", "times", "n_chars", F.substring(F.col("doc.text"), F.lit(1), cut).alias("start"), F.col("doc.mark.hashes").alias("next_hashes")
+        "g", "z", "h", "times", "n_chars",
+        F.substring(F.col("doc.text"), F.lit(1), cut).alias("start"),
+        fingerprint(F.col("doc.text"), k, window)["hashes"].alias("next_hashes"),
     )
     met = sent.join(whole, ["g", "z", "h"])
     edited = F.concat(F.substring(F.col("doc.text"), F.lit(1), F.col("n_chars") - cut), F.col("start"))
-    met = met.select("times", "n_chars", "next_hashes", F.col("doc.id").alias("id"), F.col("doc.mark").alias("mark"), edited.alias("edited"))
-    met = met.withColumn("edited_mark", fingerprint(F.col("edited"), k, window))
+    met = met.select("times", "n_chars", "next_hashes", F.col("doc.id").alias("id"), F.col("doc.text").alias("text"), edited.alias("edited"))
+    met = met.withColumns({"mark": fingerprint(F.col("text"), k, window), "edited_mark": fingerprint(F.col("edited"), k, window)})
     rows = met.select(
         F.col("id").alias(id_col),
         F.col("n_chars").cast("long").alias("n_chars"),
