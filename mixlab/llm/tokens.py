@@ -2,7 +2,7 @@
 
 The word tokenizer drops white space before it merges, so a text's ids are the ids of its
 words one after another. Each distinct word is encoded once and its ids are then gathered
-by numpy; the cache starts anew when it is full.
+by numpy; a full cache keeps the words that were met since it was last full.
 """
 
 from __future__ import annotations
@@ -16,7 +16,9 @@ import pyarrow as pa
 from mixlab.llm.text import Words, chunks
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 500_000
+# Flat arrays of some 33 bytes a word, so about two million words.
+CACHE_BYTES = 64 << 20
+_LOT = 10_000
 
 # A digit is always a token of its own here, so it can part words in one call.
 _MARK = "7"
@@ -29,9 +31,9 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class WordEncoder:
-    """Ids of words, kept by the word's 64-bit hash in flat arrays."""
+    """Ids of words, found by the word's 64-bit hash in sorted flat arrays."""
 
-    def __init__(self, path: str, capacity: int = CACHE_WORDS) -> None:
+    def __init__(self, path: str, capacity: int = CACHE_BYTES) -> None:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -43,12 +45,24 @@ class WordEncoder:
         probe = self.tokenizer.encode(f"a {_MARK} b", add_special_tokens=False).ids
         if len(self.mark) != 1 or probe.count(self.mark[0]) != 1:
             raise ValueError("this tokenizer does not drop white space between words")
-        self.clear()
+        self.keep(np.zeros(0, np.int64))
 
-    def clear(self) -> None:
-        self.at: dict[int, int] = {}
-        self.ids, self.used = np.zeros(1 << 10, np.uint32), 0
-        self.start, self.length = np.zeros(1 << 8, np.int64), np.zeros(1 << 8, np.int32)
+    keys = np.zeros(0, np.uint64)
+    ids = np.zeros(0, np.uint32)
+    start = np.zeros(0, np.int64)
+    length = np.zeros(0, np.int32)
+
+    def size(self) -> int:
+        """Bytes of the cached words."""
+        return 21 * len(self.keys) + 4 * len(self.ids)
+
+    def keep(self, places: np.ndarray) -> None:
+        """Only the words at ``places`` (ascending) stay; none of them counts as met any more."""
+        sizes, starts = self.length[places], self.start[places]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        self.ids = self.ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        self.keys, self.length, self.start = self.keys[places], sizes, ends - sizes
+        self.met = np.zeros(len(places), bool)
 
     def _encode(self, words: list[str]) -> list[np.ndarray]:
         """Ids of each word: long joined runs for ordinary words, singly those that hold the mark."""
@@ -71,48 +85,55 @@ class WordEncoder:
             out[i] = np.array(got.ids, np.uint32)
         return out
 
-    def _add(self, hashes: list[int], words: list[str]) -> None:
-        parts = self._encode(words)
+    def _add(self, hashes: np.ndarray, words: list[str]) -> None:
+        # In lots, since an encoding takes many times the size of its ids.
+        parts = [ids for low in range(0, len(words), _LOT) for ids in self._encode(words[low : low + _LOT])]
         sizes = np.fromiter(map(len, parts), np.int32, len(parts))
-        n, total = len(self.at), int(sizes.sum())
-        while self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
-        while n + len(parts) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        self.ids[self.used : self.used + total] = np.concatenate(parts) if parts else []
-        self.start[n : n + len(parts)] = self.used + np.cumsum(sizes) - sizes
-        self.length[n : n + len(parts)] = sizes
-        self.used += total
-        self.at.update(zip(hashes, range(n, n + len(parts))))
-
-    def places(self, words: Words) -> np.ndarray:
-        """The cache place of each word."""
+        starts = len(self.ids) + np.cumsum(sizes, dtype=np.int64) - sizes
+        self.ids = np.concatenate([self.ids, *parts])
+        keys = np.concatenate([self.keys, hashes])
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        self.start = np.concatenate([self.start, starts])[order]
+        self.length = np.concatenate([self.length, sizes])[order]
+        self.met = np.concatenate([self.met, np.zeros(len(hashes), bool)])[order]
+
+    def _places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each key, and whether it is there."""
+        at = np.searchsorted(self.keys, keys)
+        there = at < len(self.keys)
+        there[there] = self.keys[at[there]] == keys[there]
+        return at, there
+
+    def spans(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word's ids start in ``ids``, and how many there are."""
         codes, distinct = pd.factorize(words.hashes())
-        keys = distinct.tolist()
-        if len(self.at) + len(keys) > self.capacity:
-            self.clear()
-        known = self.at
-        new = [i for i, k in enumerate(keys) if k not in known]
-        if new:
-            first = np.zeros(len(keys), np.int64)
+        if self.size() > self.capacity:
+            # Words met since the last turn stay, unless they are too many themselves.
+            kept = np.flatnonzero(self.met)
+            self.keep(kept if 2 * (21 * len(kept) + 4 * int(self.length[kept].sum())) <= self.capacity else kept[:0])
+        at, there = self._places(distinct)
+        if not there.all():
+            new = np.flatnonzero(~there)
+            first = np.zeros(len(distinct), np.int64)
             first[codes[::-1]] = np.arange(len(codes))[::-1]
             data, starts, ends = words.data.tobytes(), words.starts, words.ends
-            self._add([keys[i] for i in new], [data[starts[j] : ends[j]].decode() for j in first[new]])
-        return np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))[codes]
+            self._add(distinct[new], [data[starts[j] : ends[j]].decode() for j in first[new]])
+            at, _ = self._places(distinct)
+        self.met[at] = True
+        return self.start[at][codes], self.length[at][codes]
 
     def counts(self, words: Words) -> np.ndarray:
         """Number of ids of each document."""
-        places = self.places(words)
-        sums = np.zeros(len(places) + 1, np.int64)
-        np.cumsum(self.length[places], out=sums[1:])
+        _, sizes = self.spans(words)
+        sums = np.zeros(len(sizes) + 1, np.int64)
+        np.cumsum(sizes, out=sums[1:])
         return np.diff(sums[words.first])
 
     def documents(self, words: Words) -> Iterator[np.ndarray]:
         """The ids of each document."""
-        places = self.places(words)
-        sizes, starts = self.length[places], self.start[places]
-        sums = np.zeros(len(places) + 1, np.int64)
+        starts, sizes = self.spans(words)
+        sums = np.zeros(len(sizes) + 1, np.int64)
         np.cumsum(sizes, out=sums[1:])
         flat = self.ids[np.repeat(starts - sums[:-1], sizes) + np.arange(sums[-1])]
         for low, high in zip(sums[words.first[:-1]], sums[words.first[1:]]):
