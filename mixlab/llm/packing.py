@@ -150,9 +150,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, path:
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     runs, _ = best_fit_decreasing(histogram, capacity)
     shared = pieces.sparkSession.sparkContext.broadcast(runs)
-    buckets = bucket_count(sum(histogram.values()))
+    # As many buckets as a length has rows for; the list has one number per length, at most ``capacity``.
+    counts = ",".join(str(bucket_count(histogram.get(length, 0))) for length in range(capacity + 1))
+    buckets = F.get(F.split(F.lit(counts), ",").cast("array<bigint>"), F.col("length").cast("int"))
     ranked = total_before(
-        pieces.withColumn("_part", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(buckets))),
+        pieces.withColumn("_part", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), buckets)),
         ["length"],
         "_part",
         ["id", "piece", "ids_crc32"],

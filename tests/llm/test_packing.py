@@ -1,5 +1,5 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -127,3 +127,31 @@ def test_counts_for_every_limit(documents, whole):
     for limit in (0, 1, 5, 100, 10**6):
         assert truncated_total(report, limit) == sum(min(n, limit) for n in lengths)
     assert token_counts(documents([])).collect() == []
+
+
+def test_a_full_cache_keeps_the_words_in_use():
+    import pyarrow as pa
+
+    coder = WordEncoder(tokenizer_path(), capacity=6000)
+    common = "the cat sat on the mat "
+    for lot in range(12):
+        texts = [common * 3 + " ".join(f"rare{lot}x{i}" for i in range(40))]
+        words = Words(*string_buffers(pa.array(texts, pa.string())))
+        assert coder.counts(words).tolist() == [len(coder.tokenizer.encode(texts[0], add_special_tokens=False).ids)]
+        assert coder.size() <= 6000 + 40 * 80
+    known = Words(*string_buffers(pa.array([common], pa.string()))).hashes()
+    assert coder._places(known)[1].all()
+
+
+def test_buckets_follow_each_length(documents, monkeypatch):
+    """A length is cut into as many buckets as it has rows for; rare ones are not cut."""
+    from mixlab.llm import packing, ranks
+
+    monkeypatch.setattr(packing, "bucket_count", lambda rows: ranks.bucket_count(rows, 10))
+    rows = [(i, "cat " * (1 if i % 10 else 1 + i % 37)) for i in range(400)]
+    placed = packing.pack(documents(rows)).collect()
+    ends = Counter()
+    for r in sorted(placed, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends[r["sequence_id"]]
+        ends[r["sequence_id"]] += r["length"]
+    assert len(placed) == 400 and max(ends.values()) <= 4096
