@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,8 +47,34 @@ def sampling_key(doc_id: Column, weight: Column, seed: int) -> Column:
     return -F.log(uniform) / weight
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None, seed: int = 7, epochs: int = EPOCHS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Per row: id, source, size, source_size, target, taken.
+def key_buckets(rows: DataFrame, weight: str, key: str, per_bucket: int | None = None) -> Column:
+    """The bucket of a key, in the order of the keys, so that all buckets hold about as many rows.
+
+    A key of weight w has the distribution 1 - exp(-w key). Weights are counted in classes of
+    one power of two (2,100 at most), and a key's place is the classes' distributions
+    weighed by their shares: any weights fill the buckets evenly to a small factor.
+    """
+    power = F.floor(F.log2(F.col(weight)) + 0.5).cast("int")
+    shares = {r["power"]: r["count"] for r in rows.groupBy(power.alias("power")).count().collect()}
+    total = max(1, sum(shares.values()))
+    place = F.lit(0.0)
+    for p, count in sorted(shares.items()):
+        place = place + F.lit(count / total) * (1 - F.exp(-F.col(key) * float(2.0**p)))
+    buckets = bucket_count(total, per_bucket) if per_bucket else bucket_count(total)
+    return F.floor(F.least(place, F.lit(1.0)) * buckets)
+
+
+def mix(
+    docs: DataFrame,
+    weights: DataFrame | None = None,
+    seed: int = 7,
+    epochs: int = EPOCHS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    tags: Sequence[str] = (),
+) -> DataFrame:
+    """Per row: id, source, size, source_size, target, taken, and the columns ``tags`` of the document.
 
     Every document is taken as often as whole epochs of its source fit the target; the
     rest of the target goes to the documents with the smallest exponential keys, as long
@@ -54,13 +82,16 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, seed: int = 7, epochs
     last document. ``weights`` are rows (id, weight), one per id: the documents' quality
     weights (positive; without a row, or null, it is 1). They meet sizes, not texts.
 
-    The running sum is cut at the key's own distribution, 1 - exp(-key), into buckets of
-    bounded size, so a source is never sorted in one task. Keys are hashes of ids: reruns
+    The running sum is cut by the keys' own distribution into buckets of bounded size
+    (``key_buckets``), so a source is never sorted in one task. Keys are hashes of ids: reruns
     agree. Null texts and texts without words have size 0 and are taken 0 times; a null
     source is a source, after the others; rows that repeat an id count as rows with equal
-    keys, ordered by size. An empty table gives an empty result.
+    keys, ordered by size. Very long texts only cost their count of words. An empty table
+    gives an empty result; extra columns are not looked at, whatever they are called.
     """
+    tagged = [f"_tag_{i}" for i in range(len(tags))]
     rows = docs.select(
+        *[F.col(c).alias(t) for c, t in zip(tags, tagged)],
         F.col(id_col).alias("_id"),
         F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
@@ -69,13 +100,12 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, seed: int = 7, epochs
     if weights is not None:
         rows = rows.join(weights.toDF("_weighted", "_weight"), F.col("_id") == F.col("_weighted"), "left")
         weight = F.coalesce(F.col("_weight").cast("double"), F.lit(1.0))
-    rows = stage(rows.select("_id", "source", "size", sampling_key(F.col("_id"), weight, seed).alias("_key")), "mix")
+    rows = stage(rows.select("_id", "source", "size", *tagged, weight.alias("_w"), sampling_key(F.col("_id"), weight, seed).alias("_key")), "mix")
     targets = stage(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), epochs), "targets")
-    buckets = bucket_count(rows.count())
-    rows = rows.withColumn("_part", F.floor((1 - F.exp(-F.col("_key"))) * buckets))
-    summed = total_before(rows, ["source"], "_part", ["_key", "_id", "size"], F.col("size"), "_before")
+    rows = rows.withColumn("_part", key_buckets(rows, "_w", "_key"))
+    summed = total_before(rows, ["source"], "_part", ["_key", "_id", "size", *tagged], F.col("size"), "_before")
     summed = summed.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - rounds * F.col("source_size")
     taken = F.col("size") * (rounds + (F.col("_before") + F.col("size") / 2 <= rest).cast("long"))
-    return summed.select(F.col("_id").alias(id_col), "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return summed.select(F.col("_id").alias(id_col), "source", "size", "source_size", "target", taken.cast("long").alias("taken"), *[F.col(t).alias(c) for c, t in zip(tags, tagged)])

@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from mixlab.llm import mixing
 from mixlab.llm.mixing import mix
@@ -68,3 +69,17 @@ def test_heavier_documents_are_taken_first(documents, spark):
     taken = {r["doc_id"]: r["taken"] for r in mix(documents(rows), weights).collect() if r["source"] == "b"}
     assert 0 < sum(taken.values())
     assert sum(v for k, v in taken.items() if k % 2) > 1.2 * sum(v for k, v in taken.items() if k % 2 == 0)
+
+
+@pytest.mark.parametrize("weights", [[1.0], [0.5], [2.0, 0.5, 1.0], [1e-3, 1e3]])
+def test_buckets_stay_even_for_any_weights(spark, weights):
+    """The largest bucket grows with the bound on its rows, not with the input."""
+    from mixlab.llm.mixing import key_buckets, sampling_key
+
+    choose = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("id") % len(weights) + 1).cast("int"))
+    rows = spark.range(40_000).withColumn("w", choose).withColumn("key", sampling_key(F.col("id"), F.col("w"), 7))
+    placed = rows.withColumn("part", key_buckets(rows, "w", "key", per_bucket=200))
+    sizes = [r["count"] for r in placed.groupBy("part").count().collect()]
+    assert max(sizes) < 400 and len(sizes) > 150
+    ordered = [r["part"] for r in placed.orderBy("key").select("part").collect()]
+    assert ordered == sorted(ordered)
