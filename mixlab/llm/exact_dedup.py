@@ -72,8 +72,27 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that ``exact_dedup`` keeps, with all their columns."""
-    dropped = exact_dedup(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("__dropped"), F.col("digest").alias("__digest"))
-    full = F.sha2(normalised(F.col(text_col)).cast("binary"), 256)
-    same = F.col(id_col).eqNullSafe(F.col("__dropped")) & (full == F.col("__digest"))
-    return bitmaps.without(docs, stage(dropped, "dropped"), F.xxhash64(id_col), F.xxhash64("__dropped"), same)
+    """One document of each group of equal texts, with all its columns: that of ``exact_dedup``.
+
+    Of rows that repeat the id too, the one with the most code points stays, then that with
+    the least text; of fully equal rows, one. Other texts of the same id stay. Null and empty texts
+    are one group. Extra columns stay, whatever they are called.
+    """
+    found = exact_dedup(docs, id_col, text_col).where("group_size > 1")
+    listed = found.groupBy(F.col(id_col).alias("__id"), F.col("digest").alias("__digest")).agg(F.max("kept").alias("__kept"), F.count("*").alias("__rows"))
+    listed = stage(listed.where("not __kept or __rows > 1"), "dropped")
+    digest = F.sha2(normalised(F.col(text_col)).cast("binary"), 256)
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (digest == F.col("__digest"))
+    alone = bitmaps.without(docs, listed, F.xxhash64(id_col), F.xxhash64("__id"), same)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = dict(zip(docs.columns, names))
+    repeated = listed.where("__kept")
+    if not repeated.take(1):
+        return alone
+    # Only rows whose id may be listed are hashed again, and only these move.
+    rows = bitmaps.mark(docs.toDF(*names), F.xxhash64(at[id_col]), bitmaps.bitmap(repeated, F.xxhash64("__id")), "_maybe").where("_maybe")
+    text = F.coalesce(F.col(at[text_col]), F.lit(""))
+    own = rows.withColumn("_digest", F.sha2(normalised(text).cast("binary"), 256))
+    own = own.join(repeated, F.col(at[id_col]).eqNullSafe(F.col("__id")) & (F.col("_digest") == F.col("__digest")))
+    best = F.min_by(F.struct(*names), F.struct((-F.length(text)).alias("n"), text.alias("t"))).alias("row")
+    return alone.unionAll(own.groupBy("__id", "__digest").agg(best).select("row.*").toDF(*docs.columns))

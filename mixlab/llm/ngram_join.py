@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from mixlab.llm import bitmaps
 from mixlab.llm.components import components
-from mixlab.llm.text import Words, chunks, mix, rolling, signed, string_buffers
+from mixlab.llm.text import Words, chunks, give_back, mix, rolling, signed, string_buffers
 from mixlab.session import stage
 
 LEAST_SKETCH = 256
@@ -199,10 +199,12 @@ def entries(grams: np.ndarray, offsets: np.ndarray, sets: np.ndarray, scheme_id:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int):
+    give_back()
     for batch in batches:
         for part, data, offsets in chunks(batch, "text"):
             grams, cuts = ngrams(Words(data, offsets, lower=True), n)
             yield part, grams, cuts, fingerprints(grams, cuts)
+    give_back()
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,10 +292,12 @@ def similar_sets(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tup
     limits = np.array(edges[1:], np.int64)
 
     def index(batches):
+        done = np.zeros(0, np.uint64)
         for _, grams, cuts, prints in _sets(batches, n):
-            # Copies of a set within this slice are indexed once.
+            # Copies of a set within this task are indexed once; eight bytes remember a set.
             _, one = np.unique(prints, return_index=True)
-            one = one[np.diff(cuts)[one] > 0]
+            one = one[(np.diff(cuts)[one] > 0) & ~np.isin(prints[one], done)]
+            done = np.union1d(done, prints[one])
             own = np.searchsorted(limits, np.diff(cuts)[one], "right")
             sets, scheme = np.concatenate([one, one]), np.concatenate([own, own - 1])
             used = np.isin(scheme, list(schemes))
@@ -321,8 +325,7 @@ def similar_sets(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tup
     open_keys = named.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
     open_keys = open_keys.where("low <> high and size > 2").select("key", "size")
     held = stage(named.join(open_keys, "key").select("key", "size", "node", "root"), "open")
-    shared = held.groupBy("node").agg(F.collect_list("key").alias("keys"))
-    rest = held.join(shared, "node").join(facts, "node").select("key", "size", "node", "rep", "root", "n", "sketch", "keys")
+    rest = held.join(facts, "node").select("key", "size", "node", "rep", "root", "n", "sketch")
     more = _verified(_open_pairs(rest, rule), source, rule)
     more = stage(more, "links")
     if more.take(1):
@@ -358,7 +361,8 @@ def _open_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of different components within each key of ``rest`` that sketches allow.
 
     A key's nodes are dealt into blocks of about ``BLOCK``; every pair of blocks is a
-    group of its own, so no task holds a whole key. Only pairs that pass are emitted.
+    group of its own, so no task holds a whole key. Only pairs that pass are emitted, by every
+    key that they share, and made one in the tasks that emit them first.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -368,7 +372,7 @@ def _open_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
 
     def compare(table: pa.Table) -> pa.Table:
         node, rep, root, size = (table.column(c).to_numpy() for c in ("node", "rep", "root", "n"))
-        block, key = table.column("_own").to_numpy(), table.column("key")[0].as_py()
+        block = table.column("_own").to_numpy()
         same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
         raw = table.column("sketch").to_pylist()
         # Sizes that meet in a key differ little: all are compared at the length of the shortest sketch.
@@ -386,14 +390,11 @@ def _open_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
                 apart = np.bitwise_count(sketch[own, None, :] ^ sketch[None, :, :]).sum(axis=2, dtype=np.int64)
                 x, y = np.nonzero(open_ & (apart <= rule.most_apart(total)))
                 found += zip((x + low).tolist(), y.tolist())
-        # Of all keys that two nodes share, the least one reports them.
-        column = table.column("keys")
-        keys = {i: set(column[i].as_py()) for i in {i for pair in found for i in pair}}
-        found = [(x, y) if node[x] < node[y] else (y, x) for x, y in found if min(keys[x] & keys[y]) == key]
+        found = [(x, y) if node[x] < node[y] else (y, x) for x, y in found]
         x, y = np.array(found, np.int64).reshape(-1, 2).T
         return pa.table({"a": node[x], "b": node[y], "ra": rep[x], "rb": rep[y]})
 
-    pairs = dealt.select("key", F.col("_pair.i").alias("i"), F.col("_pair.j").alias("j"), "_own", "node", "rep", "root", "n", "sketch", "keys")
+    pairs = dealt.select("key", F.col("_pair.i").alias("i"), F.col("_pair.j").alias("j"), "_own", "node", "rep", "root", "n", "sketch")
     return pairs.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long, ra long, rb long").distinct()
 
 
@@ -452,10 +453,11 @@ def _verified(pairs: DataFrame, source: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _members(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """The rows (id, n, node, component_id, first) whose sets are not empty, and those (id, n) of empty sets; first is the component's least node."""
+    """The rows (id, n, node, component_id, first) whose sets are not empty, and those (id, n) of empty sets; first is the least node of the component's least id."""
     found, roots = similar_sets(docs, rule, id_col, text_col)
     filled = found.where("n > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = stage(filled.groupBy("root").agg(F.min("id").alias("component_id"), F.min("node").alias("first")), "least")
+    best = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "node")).alias("best")
+    least = stage(filled.groupBy("root").agg(best).select("root", F.col("best.id").alias("component_id"), F.col("best.node").alias("first")), "least")
     return filled.join(least, "root"), found.where("n = 0")
 
 
@@ -476,17 +478,17 @@ def ngram_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id
 
 
 def drop_near_copies(docs: DataFrame, rule: Rule = Rule(5, Fraction(8, 10)), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that have the least id of their component, with all their columns.
+    """Of each component the row with the least id, a null one last, and then the least set, with all its columns.
 
-    Rows go by id and set, so other texts of the same id, or without an id, stay. Rows
-    without an id go if a row of their component has one; of a component without any id
-    one row stays, the least text of its least set. Rows with an empty set stay.
+    Rows go by id and set, so other texts of the same id, or without an id, stay if they are
+    like nothing else. Of rows that repeat both the id and the set that stay, one stays, with the least text.
+    Rows with an empty set (null texts, texts without words) stay. Extra columns stay, whatever they are called.
     """
     filled, _ = _members(docs, rule, id_col, text_col)
-    nameless = F.col("component_id").isNull()
-    gone = filled.where(F.when(nameless, F.col("node") != F.col("first")).otherwise(~F.col("id").eqNullSafe(F.col("component_id"))))
+    first = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("node") == F.col("first"))
+    gone = filled.where(~first)
     gone = gone.select(F.col("id").alias("__gone"), F.col("node").alias("__node"), F.lit(False).alias("__one")).distinct()
-    several = filled.where(nameless & (F.col("node") == F.col("first"))).groupBy("id", "node").count().where("count > 1")
+    several = filled.where(first).groupBy("id", "node").count().where("count > 1")
     gone = stage(gone.unionByName(several.select(F.col("id").alias("__gone"), F.col("node").alias("__node"), F.lit(True).alias("__one"))), "gone")
 
     def nodes(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -500,7 +502,7 @@ def drop_near_copies(docs: DataFrame, rule: Rule = Rule(5, Fraction(8, 10)), id_
     unsure = marked.where("__maybe").select(*[docs[c] for c in docs.columns]).withColumn("__own", F.pandas_udf(nodes, "long")(F.col(text_col)))
     same = number.eqNullSafe(F.col("__gone")) & (F.col("__own") == F.col("__node"))
     stay = marked.where(~F.col("__maybe")).select(*[docs[c] for c in docs.columns])
-    stay = stay.unionAll(unsure.join(gone, same, "left_anti").drop("__own"))
+    stay = stay.unionAll(unsure.join(gone, same, "left_anti").select(*[unsure[c] for c in docs.columns]))
     if gone.where("__one").take(1):
         copies = unsure.join(gone.where("__one"), same, "left_semi")
         one = copies.groupBy("__own").agg(F.min_by(F.struct(*[copies[c] for c in docs.columns]), F.col(text_col)).alias("__row"))

@@ -7,7 +7,8 @@ over the word hashes) modulo 2**64, then mixed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,30 @@ def powers(base: int, n: int) -> np.ndarray:
     return known
 
 
+_kept: dict[str, object] = {}
+
+
+def keep(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` returns, kept by this Python worker for its next tasks, until ``give_back``."""
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
+def give_back() -> None:
+    """Free the tables that this Python worker keeps, and return what is free to the system.
+
+    Workers outlive stages: without this, what one operator kept stays beside the next one's.
+    """
+    _kept.clear()
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # no such call here
+        pass
+
+
 def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial hash of ``values[start:end]`` for each pair, by prefix sums."""
     n = len(values)

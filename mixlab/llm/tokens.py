@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from mixlab.llm.text import Words, chunks
+from mixlab.llm.text import Words, chunks, keep
 
 TOKENIZER = "word_bpe_49k.json"
 # Flat arrays of some 33 bytes a word, so about two million words.
@@ -140,14 +140,9 @@ class WordEncoder:
             yield flat[low:high]
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder; kept between tasks of the same Python worker."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return keep(f"tokens {path}", lambda: WordEncoder(path))
 
 
 def encoded(batches: Iterator[pa.RecordBatch], text: str, path: str) -> Iterator[tuple[pa.RecordBatch, WordEncoder, Words]]:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixlab.llm import bitmaps
-from mixlab.llm.text import Words, chunks, mix, string_buffers
+from mixlab.llm.text import Words, chunks, give_back, mix, string_buffers
 from mixlab.session import stage
 
 BUCKETS = 1 << 16
@@ -284,10 +284,12 @@ def _per_text(model, method: str):
     """A column function: the ``method`` ("scores" or "logits") of the broadcast model for every text."""
 
     def values(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        give_back()
         for series in texts:
             batch = pa.RecordBatch.from_arrays([pa.array(series, pa.string(), from_pandas=True)], names=["text"])
             parts = [getattr(model.value, method)(Letters(data, offsets, lower=True)) for _, data, offsets in chunks(batch, "text")]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+        give_back()
 
     return F.pandas_udf(values, "double")
 

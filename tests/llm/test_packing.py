@@ -155,3 +155,13 @@ def test_buckets_follow_each_length(documents, monkeypatch):
         assert r["offset"] == ends[r["sequence_id"]]
         ends[r["sequence_id"]] += r["length"]
     assert len(placed) == 400 and max(ends.values()) <= 4096
+
+
+def test_workers_give_back_what_they_keep():
+    from mixlab.llm import text, tokens
+
+    first = tokens.encoder(tokenizer_path())
+    assert tokens.encoder(tokenizer_path()) is first and text.powers(3, 10)[2] == 9
+    text.give_back()
+    assert not text._kept and not text._powers
+    assert tokens.encoder(tokenizer_path()) is not first

@@ -26,7 +26,7 @@ def test_matches_sql(spark, folder, name):
 
 def test_all_are_registered():
     names = queries()
-    assert {n.split("_")[0] for n in llm.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in llm.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(llm.QUERIES) | {"pipeline"} <= set(names) and set(llm.ORACLE) <= set(oracle_sql())
 
 
@@ -88,3 +88,40 @@ def test_odd_rows_pass_every_stage(spark, folder, documents):
             assert len(rows) <= 3 * 6 + 60
             if name != "packing":
                 assert result.columns == docs.columns
+
+
+def test_repeated_rows_are_one_document(spark, folder, documents):
+    long = "one two three four five six seven eight nine ten"
+    rows = [(1, long)] * 3 + [(2, "a  b"), (2, "ab"), (2, "other"), (None, long + " "), (None, "lone"), (None, "lone"), (3, "clean text of its own")]
+    after = STEPS["exact_dedup"](spark, documents(rows), folder).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in after if r["text"] != long + " ") == sorted(
+        [("2", "a  b"), ("2", "other"), ("None", "lone"), ("3", "clean text of its own")]
+    )
+    assert [r["doc_id"] for r in after if r["text"] == long + " "] == [None]
+
+
+def test_one_row_of_each_component_stays(spark, folder, documents):
+    words = [f"w{i}" for i in range(60)]
+    base, near = " ".join(words), " ".join([*words[:-1], "changed"])
+    rows = [(1, base)] * 3 + [(1, near), (2, near), (None, base), (1, "something else entirely under the same id as above")]
+    after = STEPS["ngram_jaccard"](spark, documents(rows), folder).collect()
+    assert sorted((r["doc_id"], len(r["text"].split())) for r in after) == [(1, 9), (1, 60)]
+    nameless = [(None, base), (None, base), (None, near), (None, "nothing like the others at all here")]
+    after = STEPS["ngram_jaccard"](spark, documents(nameless), folder).collect()
+    assert sorted(len(r["text"].split()) for r in after) == [7, 60]
+
+
+@pytest.mark.parametrize("ids", [lambda i: None, lambda i: i // 4, lambda i: 7])
+def test_the_mix_goes_by_rows_not_ids(spark, folder, documents, ids):
+    """Nameless rows, repeated ids and different texts under one id meet the target like any others."""
+    rows = [(ids(i), " ".join(["word"] * (3 + i % 9) + [str(i // 2)]), "big" if i % 4 else "small") for i in range(80)]
+    before = documents(rows)
+    after = STEPS["mixing"](spark, before, folder).collect()
+    sizes, words = Counter(), Counter()
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    for r in after:
+        words[r["source"]] += len(r["text"].split())
+    want = test_mixing.targets(sizes)
+    assert all(abs(words[s] - want[s]) <= 13 / 2 for s in sizes)
+    assert {(r["doc_id"], r["text"]) for r in after} <= {(i, t) for i, t, _ in rows}
