@@ -17,6 +17,8 @@ from mixlab.session import stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold of their language go; the labels train the classifier.
 
+    Empty and null texts have a score too, that of a text without words; a text of any length is read
+    whole. A score equal to the threshold rejects. Repeated rows and null ids are scored each.
     Extra columns stay, also if they are called like those of the operator.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
@@ -26,26 +28,43 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal without white space one stays."""
+    """Of texts that are equal without white space one row stays (``drop_copies``); null and empty texts are equal."""
     return drop_copies(docs)
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of documents with a similarity of 0.8 or more on five-word shingles the least id stays."""
+    """Of each component of documents with a similarity of 0.8 or more on five-word shingles one row stays (``drop_near_copies``).
+
+    Texts without words are like nothing and stay; those with fewer words are one shingle.
+    """
     return drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as its source's mix takes it, whole; documents taken no time go."""
+    """Each document as many times as its source's mix takes it, whole; documents taken no time go.
+
+    What the mix takes goes by the whole row, not by its id: repeated ids, null ids and repeated
+    rows get what they are taken for, and the words taken of a source end within half a document of its
+    target. Null texts and texts without words are taken no time. Extra columns stay, whatever they are called.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = dict(zip(docs.columns, names))
+    kinds = dict(docs.toDF(*names).dtypes)
+    told = [n for n in names if "map<" not in kinds[n] and kinds[n] != "variant"]
+    rows = docs.toDF(*names).withColumns({"tag": F.xxhash64(*told), "mark": F.hash(*told)})
     weights = quality_weights(table(spark, sf_dir, "labels"))
-    taken = mix(docs, weights).where("taken > 0").groupBy(F.col("doc_id").alias("__mixed")).agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("__times"))
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__mixed")))
-    repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-    return repeated.select(*[repeated[c] for c in docs.columns])
+    mixed = mix(rows, weights, id_col=at["doc_id"], text_col=at["text"], source_col=at["source"], tags=["tag", "mark"])
+    taken = mixed.where("taken > 0").groupBy("tag", "mark").agg(F.sum((F.col("taken") / F.col("size")).cast("int")).alias("times"))
+    one = rows.groupBy("tag", "mark").agg(F.first(F.struct(*names)).alias("row")).join(taken, ["tag", "mark"])
+    repeated = one.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return repeated.select("row.*").toDF(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in sequences of at most 4096 tokens."""
+    """The pieces of all documents with their places in sequences of at most 4096 tokens.
+
+    Texts without tokens are one piece of the end id; repeated rows, as the mix makes them, are packed each.
+    """
     return pack(docs)
 
 
