@@ -158,16 +158,17 @@ def mean_baseline(contributions: DataFrame, n_days: int = 1) -> DataFrame:
 def append_baseline(rows: DataFrame, baseline: DataFrame, name: str = "Baseline") -> DataFrame:
     """Add the baseline row (budget 0, ROI 0) to every scenario.
 
-    The first row of each scenario is doubled in place, in the window over scenarios that
-    the rows come from, so nothing below is run twice.
+    It follows the last channel, doubled in place in the window over scenarios that the rows come
+    from, so nothing below is run twice and sums add the baseline last.
     """
     values = ("channel", "budget", "budget_pct", "roi", "contribution")
     zero = F.lit(0.0)
     mean = baseline.select("baseline").scalar()
     own = F.struct(*[F.col(c) for c in values])
     extra = F.struct(F.lit(name).alias("channel"), zero.alias("budget"), zero.alias("budget_pct"), zero.alias("roi"), mean.alias("contribution"))
-    first = F.row_number().over(W.partitionBy("scenario").orderBy("channel")) == 1
-    doubled = rows.withColumn("_first", first).select("scenario", F.inline(F.when(F.col("_first"), F.array(own, extra)).otherwise(F.array(own))))
+    by_channel = W.partitionBy("scenario").orderBy("channel")
+    last = F.row_number().over(by_channel) == F.count(F.lit(1)).over(W.partitionBy("scenario"))
+    doubled = rows.withColumn("_last", last).select("scenario", F.inline(F.when(F.col("_last"), F.array(own, extra)).otherwise(F.array(own))))
     return doubled.select(*rows.columns)
 
 

@@ -110,6 +110,12 @@ def sales_with_spend(df: DataFrame, channels: Sequence[str], id_cols: Sequence[s
     )
 
 
+def long_spend(wide: DataFrame, channels: Sequence[str], id_cols: Sequence[str] = ()) -> DataFrame:
+    """(ids, date, channel, spend) from wide spend that has not been zero-filled; days without a channel have no row for it."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("channel"), F.col(c).alias("spend")) for c in channels])
+    return wide.select(*id_cols, "date", F.inline(pairs)).filter(F.col("spend").isNotNull())
+
+
 def time_split(
     df: DataFrame, train_end: str, test_start: str | None = None
 ) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -164,6 +164,22 @@ def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def grain_counts(df: DataFrame, grains: Mapping[str, Sequence[str]], lines: str = "lines") -> DataFrame:
+    """One row: how many rows ``df`` has (``lines``) and how many groups at each grain, in one pass.
+
+    ``grains`` go from coarse to fine, each with the keys of the one before it and more. Groups of
+    the finest are counted with their rows in the map tasks, the coarser ones from those counts.
+    """
+    names, keys = list(grains), [list(k) for k in grains.values()]
+    if any(not set(a) < set(b) for a, b in zip(keys, keys[1:])):
+        raise ValueError("each grain has all keys of the one before it, and more")
+    counts, known = df, {lines: F.count(F.lit(1))}
+    for name, k in zip(reversed(names), reversed(keys)):
+        counts = counts.groupBy(*k).agg(*[value.alias(n) for n, value in known.items()])
+        known = {n: F.sum(n) for n in known} | {name: F.count(F.lit(1))}
+    return counts.agg(*[F.coalesce(known[n], F.lit(0)).cast("long").alias(n) for n in (lines, *names)])
+
+
 def distinct_dates(df: DataFrame, col: str = "date") -> DataFrame:
     return df.select(F.col(col).alias("date")).distinct()
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from mixlab.operators import model as mo
 from mixlab.operators import panel as pa
 from mixlab.operators import prep as pr
 from mixlab.operators import profile as pf
+from mixlab.operators import rollup as ru
 from mixlab.operators import simulate as si
 from mixlab.operators.channels import adstock, channel_transform
 from mixlab.plans import reports as rp
@@ -129,9 +131,17 @@ def country_wide(spark, d, exact: bool = False) -> DataFrame:
     return pa.pivot_spend(rows.withColumnRenamed("InvoiceDate", "date"), CHANNELS, ["Country"], exact=exact)
 
 
+def panel_base(spark, d) -> DataFrame:
+    """Daily sales and spend per channel, in one pass over the lines."""
+    return pa.sales_with_spend(lines(spark, d, *SALES_COLUMNS, "channel", "spend"), CHANNELS)
+
+
 def panel(spark, d) -> DataFrame:
     """The panel in one pass over the lines; the factors are expressions of its own dates."""
-    base = pa.sales_with_spend(lines(spark, d, *SALES_COLUMNS, "channel", "spend"), CHANNELS)
+    return panel_of(panel_base(spark, d))
+
+
+def panel_of(base: DataFrame) -> DataFrame:
     return pa.finish_panel(base.select("*", *si.external_columns(noise=0)), CHANNELS, PARAMS)
 
 
@@ -147,9 +157,9 @@ def allocation(spark, d) -> DataFrame:
     return bu.allocate_budget(median_roi(spark, d), TOTAL, MIN_PCT, MAX_PCT)
 
 
-def scenarios(spark, d) -> DataFrame:
+def day_scenarios(spend: DataFrame) -> DataFrame:
     """One scenario per day: that day's spend mix, applied to the whole budget."""
-    return spend_view(spark, d).select(
+    return spend.select(
         F.col("date").cast("string").alias("scenario"),
         "channel",
         F.col("spend").alias("allocation_pct"),
@@ -157,9 +167,20 @@ def scenarios(spark, d) -> DataFrame:
     )
 
 
+def scenarios(spark, d) -> DataFrame:
+    return day_scenarios(spend_view(spark, d))
+
+
+def simulated(spark, d) -> tuple[DataFrame, DataFrame]:
+    """The simulated scenarios and the contributions they rest on; the lines are read once, for the staged days."""
+    base = stage(panel_base(spark, d), "days")
+    scored = stage(at.contributions(panel_of(base), SCORER, CHANNELS))
+    mixes = day_scenarios(pa.long_spend(base, CHANNELS))
+    return bu.simulate_scenarios(mixes, at.median_roi(scored, CHANNELS, bounded=True)), scored
+
+
 def scenario_rows(spark, d) -> DataFrame:
-    scored = stage(contributions(spark, d))
-    rows = bu.simulate_scenarios(scenarios(spark, d), at.median_roi(scored, CHANNELS, bounded=True))
+    rows, scored = simulated(spark, d)
     return bu.append_baseline(rows, bu.mean_baseline(scored))
 
 
@@ -215,6 +236,25 @@ def _scan_csv_by_header(spark, d):
     return files.scan_csv(spark, path, "o_orderkey LONG, o_custkey LONG, order_date DATE, o_totalprice DECIMAL(12,2)")
 
 
+@query(
+    "scan_csv_folder",
+    "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS o_custkey, CAST(o_orderdate AS DATE) AS order_date, "
+    "CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS note FROM orders",
+)
+def _scan_csv_folder(spark, d):
+    """Three days' worth of files in one folder: other orders of columns, one column missing, one more."""
+    path = staging_path(spark, "orders-folder")
+    orders = table(spark, d, "orders").withColumn("order_date", F.date_format("o_orderdate", "M/d/yyyy H:mm"))
+    kinds = {
+        "O": ["o_orderkey", "o_custkey", "order_date"],
+        "F": ["order_date", "o_orderkey"],
+        "P": [F.col("o_orderpriority").alias("note"), "order_date", "o_custkey", "o_orderkey"],
+    }
+    for status, columns in kinds.items():
+        orders.filter(F.col("o_orderstatus") == status).select(*columns).write.mode("append").option("header", True).csv(path)
+    return files.scan_csv_folder(spark, path, "o_orderkey LONG, o_custkey LONG, order_date DATE")
+
+
 @query(
     "csv_rejected",
     "SELECT 'o_orderkey' AS \"column\", CAST(0 AS BIGINT) AS rejected UNION ALL "
@@ -570,6 +610,33 @@ def _by_sql(dim: str, name: str, customers: bool = True, quantity: bool = False)
     )
 
 
+_LEVELS = {
+    "day": ("CAST(InvoiceDate AS VARCHAR)", "string(InvoiceDate)"),
+    "month": ("strftime(InvoiceDate, '%Y-%m')", "date_format(InvoiceDate, 'yyyy-MM')"),
+    "weekday": ("CAST((dayofweek(InvoiceDate) + 6) % 7 AS VARCHAR)", "string(weekday(InvoiceDate))"),
+    "country": ("Country", "Country"),
+}
+
+
+@query(
+    "sales_rollup",
+    build(
+        " UNION ALL ".join(
+            f"SELECT '{level}' AS level, {key} AS key, CAST(sum(TotalAmount) AS DOUBLE) AS revenue, CAST(sum(Quantity) AS BIGINT) AS quantity, "
+            f"count(DISTINCT InvoiceNo) AS transactions, count(DISTINCT CustomerID) AS unique_customers FROM retail GROUP BY 2"
+            for level, (key, _) in _LEVELS.items()
+        ),
+        "retail",
+    ),
+)
+def _sales_rollup(spark, d):
+    """Four reports with distinct invoices and customers from one pass over the lines."""
+    rows = lines(spark, d, "Country", "Quantity", *SALES_COLUMNS)
+    cube = ru.cube(rows, ["InvoiceDate", "Country"], {"revenue": "TotalAmount", "quantity": "Quantity"}, {"transactions": "InvoiceNo", "unique_customers": "CustomerID"})
+    reports = [cube.by(key=F.expr(key)).select(F.lit(level).alias("level"), "*") for level, (_, key) in _LEVELS.items()]
+    return reduce(DataFrame.unionByName, reports)
+
+
 @query("sales_by_country", build(_by_sql("Country", "Country"), "retail"))
 def _sales_by_country(spark, d):
     return pf.sales_by_country(lines(spark, d, "Country", "InvoiceNo", "CustomerID", "TotalAmount"))
@@ -713,8 +780,20 @@ def _null_counts(spark, d):
     ),
 )
 def _row_counts(spark, d):
-    rows = lines(spark, d, *SALES_COLUMNS)
-    return pf.row_counts({"transactions": rows, "daily_sales": pf.daily_sales(rows), "spend": spend_view(spark, d)})
+    """The groups of the daily tables are counted from the lines, which are read once."""
+    rows = lines(spark, d, "InvoiceDate", "channel")
+    counts = pf.grain_counts(rows, {"daily_sales": ["InvoiceDate"], "spend": ["InvoiceDate", "channel"]}, "transactions")
+    widths = {"transactions": 4, "daily_sales": 4, "spend": 3}
+    stages = [F.struct(F.lit(n).alias("stage"), F.col(n).alias("n_rows"), F.lit(w).alias("n_columns")) for n, w in widths.items()]
+    return counts.select(F.inline(F.array(*stages)))
+
+
+@query(
+    "row_counts_by_frame",
+    build("SELECT 'daily_sales' AS stage, count(*) AS n_rows, CAST(4 AS INTEGER) AS n_columns FROM sales UNION ALL SELECT 'spend', count(*), 3 FROM spend", "sales", "spend"),
+)
+def _row_counts_by_frame(spark, d):
+    return pf.row_counts({"daily_sales": sales(spark, d), "spend": spend_view(spark, d)})
 
 
 @query("pivot_spend", build("SELECT * FROM wide", "wide"))
@@ -1624,7 +1703,7 @@ def _allocate_budget_conserving(spark, d):
 
 @query("simulate_scenarios", build(f"SELECT scenario, channel, {rounds(_SCENARIO_VALUES, 6)} FROM simulated", "simulated"))
 def _simulate_scenarios(spark, d):
-    return rounded(bu.simulate_scenarios(scenarios(spark, d), median_roi(spark, d)), 6)
+    return rounded(simulated(spark, d)[0], 6)
 
 
 @query("scenario_table", build(f"SELECT scenario, channel, {rounds(_SCENARIO_VALUES, 6)} FROM scenario_rows", "scenario_rows"))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mixlab.session import stage
+
 TRANSACTIONS = (
     "InvoiceNo STRING, StockCode STRING, Description STRING, Quantity INT, "
     "InvoiceDate TIMESTAMP, UnitPrice DECIMAL(12,4), CustomerID LONG, Country STRING"
@@ -70,6 +72,67 @@ def scan_csv(
     return raw.select(*[_typed(f, formats).alias(f.name) for f in wanted])
 
 
+_FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
+
+
+def folder_headers(lines: DataFrame, schema: str) -> DataFrame:
+    """(file, header, names): the header line of each file and its names.
+
+    It is the first line of the file that holds at least one of the schema's names as a value. Lines are told
+    from headers before anything is grouped, so one row per file is what moves.
+    """
+    wanted = [f.name for f in T.StructType.fromDDL(schema)]
+    mentioned = F.lit(False)
+    for name in wanted:
+        mentioned |= F.contains("line", F.lit(name))
+    values = F.regexp_extract_all(F.regexp_replace("line", "^\\uFEFF", ""), F.lit(_FIELD), 1)
+    plain = F.transform(values, lambda v: F.trim(F.replace(F.regexp_replace(F.trim(v), '^"|"$', ""), F.lit('""'), F.lit('"'))))
+    heads = lines.filter((F.col("start") == 0) & mentioned).withColumn("names", plain)
+    heads = heads.filter(F.arrays_overlap("names", F.array(*[F.lit(n) for n in wanted])))
+    first = heads.groupBy("file").agg(F.min(F.struct("place", F.col("line").alias("header"), "names")).alias("head"))
+    return first.select("file", "head.header", "head.names")
+
+
+def scan_csv_folder(
+    spark: SparkSession, path: str, schema: str, formats: Sequence[str] = TIME_FORMATS
+) -> DataFrame:
+    """CSV files of one folder, each with a header of its own: columns are found by name in every file.
+
+    Files may order their columns differently or lack some; what a file lacks is NULL in its rows. A column
+    of the schema that no file has is an error, and so is a file whose header has none of them. Further
+    columns of any file follow as text, by name. Of a name that a header repeats, the first place counts;
+    lines equal to their file's header are no data, empty lines neither. A line is a row: quoted
+    line breaks are not supported. Values that do not fit are NULL, as in ``scan_csv``; so is what a short line lacks.
+
+    The text is read twice, once for the headers. They are staged, one row per file; the driver sees
+    their distinct names only.
+    """
+    raw = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+    rows = raw.filter(F.trim("line") != "")
+    heads = stage(folder_headers(rows.withColumn("place", F.monotonically_increasing_id()), schema), "headers")
+    found = heads.agg(F.max(F.size("names")).alias("most"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("names")))).alias("names")).first()
+    wanted, most = list(T.StructType.fromDDL(schema)), found["most"] or 0
+    missing = [f.name for f in wanted if f.name not in (found["names"] or [])]
+    if missing:
+        raise ValueError(f"no file of {path} has a column {', '.join(missing)}")
+    known = {f.name for f in wanted}
+    wanted += [T.StructField(n, T.StringType()) for n in found["names"] if n and n not in known]
+
+    unheaded = F.raise_error(F.concat(F.lit("no header in "), F.col("file"))).cast("string")
+    data = rows.select("line", "file").join(heads, "file", "left")
+    values = [f"c{i}" for i in range(most)]
+    # Parsed in a column of its own, once per line, whatever is read from it.
+    parsed = data.filter(F.coalesce("header", unheaded) != F.col("line")).withColumn(
+        "_line", F.from_csv("line", ", ".join(f"{v} STRING" for v in values), {"sep": ","})
+    )
+    data = parsed.select("names", F.array(*[F.col(f"_line.{v}") for v in values]).alias("_values"))
+    place = [F.array_position("names", F.lit(f.name)).cast("int") for f in wanted]
+    named = data.select(*[F.get("_values", F.nullif(p, F.lit(0)) - 1).alias(f.name) for p, f in zip(place, wanted)])
+    return named.select(*[_typed(f, formats).alias(f.name) for f in wanted])
+
+
 def rejected_values(
     spark: SparkSession, path: str, schema: str, formats: Sequence[str] = TIME_FORMATS
 ) -> DataFrame:
