@@ -61,7 +61,7 @@ from mixlab.plans.settings import (
 )
 from mixlab.session import stage, staging_path
 from mixlab.sources import files
-from mixlab.sources.retail import hourly_view, retail_view, spend_view, table
+from mixlab.sources.retail import hourly_view, order_layout, retail_view, spend_view, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,12 +89,12 @@ def rounded(df: DataFrame, places: int, *cols: str) -> DataFrame:
 # ---- shared inputs ---------------------------------------------------------
 
 
-def lines(spark, d, *cols: str, between: tuple[str, str] | None = None) -> DataFrame:
+def lines(spark, d, *cols: str, between: tuple[str, str] | None = None, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Invoice lines with ``cols``; TotalAmount on request."""
     if "TotalAmount" not in cols:
-        return retail_view(spark, d, cols, between)
+        return retail_view(spark, d, cols, between, tables)
     base = dict.fromkeys([*[c for c in cols if c != "TotalAmount"], "Quantity", "UnitPrice"])
-    return pr.line_amount(retail_view(spark, d, base, between)).select(*cols)
+    return pr.line_amount(retail_view(spark, d, base, between, tables)).select(*cols)
 
 
 SALES_COLUMNS = ("InvoiceDate", "InvoiceNo", "CustomerID", "TotalAmount")
@@ -131,9 +131,9 @@ def country_wide(spark, d, exact: bool = False) -> DataFrame:
     return pa.pivot_spend(rows.withColumnRenamed("InvoiceDate", "date"), CHANNELS, ["Country"], exact=exact)
 
 
-def panel_base(spark, d) -> DataFrame:
+def panel_base(spark, d, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Daily sales and spend per channel, in one pass over the lines."""
-    return pa.sales_with_spend(lines(spark, d, *SALES_COLUMNS, "channel", "spend"), CHANNELS)
+    return pa.sales_with_spend(lines(spark, d, *SALES_COLUMNS, "channel", "spend", tables=tables), CHANNELS)
 
 
 def panel(spark, d) -> DataFrame:
@@ -1322,6 +1322,16 @@ def _build_panel_one_pass(spark, d):
     return rounded(panel(spark, d), 8, *_EXT, *ADSTOCKS, *_CYCLIC)
 
 
+@query(
+    "build_panel_bucketed",
+    build(f"SELECT date, {', '.join(_PANEL_EXACT)}, {rounds([*_EXT, *ADSTOCKS, *_CYCLIC], 8)} FROM panel", "panel"),
+)
+def _build_panel_bucketed(spark, d):
+    """Over lines and orders laid out by order key, which meet without an exchange."""
+    base = panel_base(spark, d, order_layout(spark, d, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return rounded(panel_of(base), 8, *_EXT, *ADSTOCKS, *_CYCLIC)
+
+
 _FEATURES = [c for c in (*_PANEL_EXACT, *_EXT, *ADSTOCKS, *_CYCLIC) if c != "revenue"]
 
 

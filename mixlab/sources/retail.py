@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mixlab.sources.layout import bucketed
+
 # Product types of the part table, which stand in for media channels.
 RETAIL_CHANNELS = ("economy", "large", "medium", "promo", "small", "standard")
 EVENT_CHANNELS = ("click", "error", "purchase", "signup", "view")
@@ -62,9 +64,13 @@ def retail_view(
     folder: str,
     columns: Iterable[str] = RETAIL_COLUMNS,
     between: tuple[str, str] | None = None,
+    tables: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Invoice lines with the requested columns, ``between`` two days if given.
 
+    ``tables`` gives frames to read in place of the folder's tables of those names, such as
+    lines and orders bucketed by their order key (``order_layout``), which then meet where they are.
+
     Only the dimension tables those columns come from are joined (every line has
     one order, part, customer and nation), since Spark cannot drop an inner join
     by itself. Orders meet their customers before the lines, so the largest
@@ -76,27 +82,40 @@ def retail_view(
     unknown = set(wanted) - set(RETAIL_COLUMNS)
     if unknown:
         raise ValueError(f"unknown retail columns: {sorted(unknown)}")
+    given = tables or {}
+
+    def opened(name: str) -> DataFrame:
+        return given[name] if name in given else table(spark, folder, name)
+
     line, order, part = _from_lineitem(), _from_orders(), _from_part()
     available = {**line, **order, **part, "Country": F.col("n_name")}
 
-    lines = table(spark, folder, "lineitem")
+    lines = opened("lineitem")
     if between or "Country" in wanted or any(c in order for c in wanted):
-        orders = table(spark, folder, "orders")
+        orders = opened("orders")
         if between:
             orders = _on_days(orders, *between)
         if "Country" in wanted:
-            places = table(spark, folder, "customer").join(
-                table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+            places = opened("customer").join(
+                opened("nation"), F.col("c_nationkey") == F.col("n_nationkey")
             ).select("c_custkey", "n_name")
             orders = orders.join(places, F.col("o_custkey") == F.col("c_custkey"))
         lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if any(c in part for c in wanted):
         lines = lines.join(
-            table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")
+            opened("part"), F.col("l_partkey") == F.col("p_partkey")
         )
     return lines.select(*[available[c].alias(c) for c in wanted])
 
 
+def order_layout(spark: SparkSession, folder: str, buckets: int) -> dict[str, DataFrame]:
+    """The lines and the orders, bucketed by their order key once for all later reports."""
+    return {
+        "lineitem": bucketed(table(spark, folder, "lineitem"), "l_orderkey", buckets, "lines"),
+        "orders": bucketed(table(spark, folder, "orders"), "o_orderkey", buckets, "orders"),
+    }
+
+
 def spend_view(spark: SparkSession, folder: str, kind: str = "retail") -> DataFrame:
     """Long spend (date, channel, spend): sparse from the retail lines, dense from events."""
     if kind == "events":

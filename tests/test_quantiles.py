@@ -80,3 +80,24 @@ def test_outliers_and_missing_values_go(spark):
     assert (counts["n_rows"], counts["n_kept"], counts["n_removed"]) == (22, 20, 2)
     grouped = outlier_counts(df, "v", id_cols=["g"]).first()
     assert grouped["n_removed"] == 2
+
+
+@pytest.mark.parametrize("most", [1, 20, 10**6])
+def test_slices_are_cut_again_until_they_are_small(spark, most):
+    """Nearly all mass in one narrow range, beside hot values and far outliers."""
+    rng = np.random.default_rng(11)
+    dense = list(1.0 + rng.random(6000) * 1e-9) + [1.0 + 5e-10] * 2000 + [-1e12, 1e12, 0.0, -0.0]
+    groups = {"dense": dense, "hot": [2.0] * 3000 + [1.0, 3.0], "few": [1.0, 2.0, 4.0]}
+    got = {r["g"]: r["quantiles"] for r in exact_quantiles(_frame(spark, groups), ["v"], PROBS, ["g"], most=most).collect()}
+    for g, vs in groups.items():
+        assert got[g] == pytest.approx(list(np.quantile(vs, PROBS)), rel=1e-15, abs=1e-15)
+    whole = exact_quantiles(_frame(spark, groups), ["v"], PROBS, most=most).first()["quantiles"]
+    assert whole == pytest.approx(list(np.quantile([v for vs in groups.values() for v in vs], PROBS)), rel=1e-15)
+
+
+def test_the_input_is_read_once(spark, folder):
+    from mixlab.plans import catalog
+
+    rows = catalog.lines(spark, folder, "InvoiceDate", "TotalAmount")
+    plan = exact_quantiles(rows, ["TotalAmount"], [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" not in plan
