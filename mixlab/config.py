@@ -24,6 +24,9 @@ DEFAULT_WINDOWS = (7, 14, 30)
 BOOSTING_ROUNDS = 500
 IMPORTANCE_ROUNDS = 100
 
+# The grid that tuning searches per channel, unless the configuration names another.
+TUNING_GRID = {"decay_rate": (0.3, 0.5, 0.7), "k": (0.5, 0.8, 1.2), "S": (1000.0, 3000.0, 9000.0)}
+
 
 @dataclass(frozen=True)
 class MixConfig:
@@ -43,7 +46,11 @@ class MixConfig:
     holidays: bool = True
     channels: tuple[str, ...] = CHANNELS
     channel_params: dict = field(default_factory=lambda: dict(CHANNEL_PARAMS))
+    normalize: bool = False
+    validate: bool = False
     folds: int = 3
+    tuning: bool = False
+    tuning_grid: dict = field(default_factory=lambda: dict(TUNING_GRID))
     rounds: int = BOOSTING_ROUNDS
     seed: int = 42
     budget: float = 100000.0
@@ -73,7 +80,11 @@ class MixConfig:
             seasonality=feat.get("create_seasonality_features", True),
             holidays=feat.get("create_holiday_features", True),
             channels=tuple(raw.get("marketing_channels", CHANNELS)),
+            normalize=prep.get("normalize_features", False),
+            validate=model.get("validation_strategy") == "time_series_split",
             folds=model.get("num_validation_folds", 3),
+            tuning=model.get("hyperparameter_tuning", False),
+            tuning_grid=model.get("tuning_grid", dict(TUNING_GRID)),
             rounds=model.get("boosting_rounds", BOOSTING_ROUNDS),
             seed=model.get("random_state", 42),
             budget=float(opt.get("budget_constraint", 100000)),
