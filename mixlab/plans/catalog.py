@@ -22,6 +22,7 @@ from mixlab.operators import blocks as bl
 from mixlab.operators import budget as bu
 from mixlab.operators import features as fe
 from mixlab.operators import gram as gr
+from mixlab.operators import leafwise as lw
 from mixlab.operators import model as mo
 from mixlab.operators import panel as pa
 from mixlab.operators import prep as pr
@@ -1561,6 +1562,81 @@ def _feature_importance(spark, d):
     return mo.importance(spark, scorer)
 
 
+def leafwise(spark, d, rounds: int = BOOSTING_ROUNDS):
+    """Best-first trees fitted on the days before the split, and the panel they belong to."""
+    data = stage(panel(spark, d))
+    train, _ = pa.time_split(data, TRAIN_END)
+    return lw.train_leafwise(train, features_of(data), how=lw.Boosting(rounds=rounds, seed=SEED)), data
+
+
+@query("train_leafwise")
+def _train_leafwise(spark, d):
+    scorer, data = leafwise(spark, d)
+    return mo.evaluate(pa.time_part(scorer.predict(data), TRAIN_END), by=["part"])
+
+
+@query("gain_importance")
+def _gain_importance(spark, d):
+    scorer, _ = leafwise(spark, d, IMPORTANCE_ROUNDS)
+    return lw.gain_importance(scorer)
+
+
+@query("top_features_gain")
+def _top_features_gain(spark, d):
+    return pf.top_k(_gain_importance(spark, d), "importance", 20, ["feature"])
+
+
+@query("contributions_leafwise")
+def _contributions_leafwise(spark, d):
+    scorer, data = leafwise(spark, d)
+    return at.contributions(data, scorer, CHANNELS)
+
+
+@query("train_leafwise_by")
+def _train_leafwise_by(spark, d):
+    rows = stage(entities(spark, d))
+    train, _ = pa.time_split(rows, TRAIN_END)
+    scorer = lw.train_leafwise(train, _ENTITY_INPUTS, id_cols=_ENTITY, how=lw.Boosting(rounds=IMPORTANCE_ROUNDS, seed=SEED))
+    scored = scorer.predict(rows).filter(F.col("prediction").isNotNull())
+    return mo.evaluate(pa.time_part(scored, TRAIN_END), by=[*_ENTITY, "part"])
+
+
+# The first split of the first tree: every threshold of every feature, by running sums.
+_LEAST, _STEP = 20, 0.05
+_SPLIT_STEPS = {
+    "centred": "SELECT *, revenue - avg(revenue) OVER w AS r, count(*) OVER w AS n FROM entities WINDOW w AS (PARTITION BY Country, channel)",
+    "tall": " UNION ALL ".join(
+        f"SELECT Country, channel, n, {i} AS place, '{c}' AS feature, CAST({c} AS DOUBLE) AS v, r FROM centred" for i, c in enumerate(_ENTITY_INPUTS)
+    ),
+    "sums": "SELECT Country, channel, n, place, feature, v, sum(r) AS s, count(*) AS c FROM tall GROUP BY ALL",
+    "running": "SELECT *, sum(s) OVER w AS ls, sum(c) OVER w AS lc, sum(s) OVER e AS ts, lead(v) OVER w AS following FROM sums "
+    "WINDOW w AS (PARTITION BY Country, channel, place ORDER BY v), e AS (PARTITION BY Country, channel, place)",
+    "cuts": "SELECT *, ls * ls / lc + (ts - ls) * (ts - ls) / (n - lc) - ts * ts / n AS gain FROM running "
+    f"WHERE following IS NOT NULL AND lc >= {_LEAST} AND n - lc >= {_LEAST}",
+    "best": "SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY Country, channel ORDER BY gain DESC, place, v) = 1",
+}
+
+
+@query(
+    "leafwise_first_split",
+    build(
+        "SELECT Country, channel, n, CAST(lc AS BIGINT) AS left_rows, feature, round((v + following) / 2, 4) AS threshold, round(gain, 0) AS gain, "
+        f"round({_STEP} * ls / lc, 3) AS left_value, round({_STEP} * (ts - ls) / (n - lc), 3) AS right_value FROM best",
+        "entities",
+        **_SPLIT_STEPS,
+    ),
+)
+def _leafwise_first_split(spark, d):
+    how = lw.Boosting(rounds=1, leaves=2, step=_STEP, feature_part=1.0, row_part=1.0, least_rows=_LEAST, bins=1_000_000)
+    nodes = lw.train_leafwise(entities(spark, d), _ENTITY_INPUTS, id_cols=_ENTITY, how=how).trees.filter("tree = 1")
+    of = [F.max(F.when(F.col("node") == node, F.col(c))).alias(name) for node, c, name in (
+        (0, "rows", "n"), (1, "rows", "left_rows"), (0, "feature", "feature"), (0, "threshold", "threshold"),
+        (0, "gain", "gain"), (1, "value", "left_value"), (2, "value", "right_value"),
+    )]
+    split = nodes.groupBy(*_ENTITY).agg(*of).filter("feature IS NOT NULL")
+    return rounded(rounded(rounded(split, 4, "threshold"), 0, "gain"), 3, "left_value", "right_value")
+
+
 @query("predict", build("SELECT date, revenue, round(predicted_revenue, 4) AS prediction FROM scored", "scored"))
 def _predict(spark, d):
     return rounded(SCORER.predict(panel(spark, d)).select("date", "revenue", "prediction"), 4, "prediction")
@@ -1785,6 +1861,11 @@ def _report_top_features(spark, d):
     return rp.report_top_features(mo.importance(spark, scorer))
 
 
+@query("report_top_features_gain")
+def _report_top_features_gain(spark, d):
+    return rp.report_top_features(_gain_importance(spark, d))
+
+
 @query(
     "report_findings",
     build(

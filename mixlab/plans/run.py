@@ -11,6 +11,7 @@ from mixlab.config import MixConfig
 from mixlab.operators.attribution import contributions, median_roi
 from mixlab.operators.budget import allocate_budget
 from mixlab.operators.features import holidays, lag_features, rolling_features, seasonality
+from mixlab.operators.leafwise import Boosting, gain_importance, train_leafwise
 from mixlab.operators.model import cross_validate, evaluate, feature_columns, importance, param_search, train_gbt, train_linear
 from mixlab.operators.panel import finish_panel, join_spend, pivot_spend, time_split
 from mixlab.operators.prep import (
@@ -98,7 +99,7 @@ def run_mix(
     config: MixConfig,
     spend: DataFrame | None = None,
     external: DataFrame | None = None,
-    trees: bool = True,
+    trees: bool | str = True,
     max_iter: int | None = None,
     carry_features: bool = False,
     exclude: tuple[str, ...] = (),
@@ -111,7 +112,8 @@ def run_mix(
     which the model reads many times. ``carry_features`` takes the lag and
     rolling columns of the spend into the panel; ``exclude`` keeps columns (such
     as same-day outcomes) out of the model. The boosting rounds are those of the
-    configuration unless ``max_iter`` is given. Without a training end all days train and
+    configuration unless ``max_iter`` is given; trees grow best leaf first, or by Spark ML with
+    ``trees="levels"``, and with False the model is linear. Without a training end all days train and
     there are no test metrics. As configured, the channels' parameters are tuned on the training
     days, features are normalised, and linear models are validated over expanding folds of the training days.
     """
@@ -140,9 +142,12 @@ def run_mix(
         train, test = time_split(panel, config.train_end_date, config.test_start_date)
     else:
         train, test = panel, None
-    if trees:
+    if trees == "levels":
         scorer = train_gbt(train, names, max_iter=max_iter or config.rounds, seed=config.seed)
         weights = importance(panel.sparkSession, scorer)
+    elif trees:
+        scorer = train_leafwise(train, names, how=Boosting(rounds=max_iter or config.rounds, seed=config.seed))
+        weights = gain_importance(scorer)
     else:
         scorer, weights = train_linear(train, names), None
     scored = stage(contributions(panel, scorer, config.channels))

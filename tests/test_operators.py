@@ -597,7 +597,7 @@ def test_constant_inputs_do_not_stop_the_fits(spark):
     assert [r["channel"] for r in mo.param_search(df, ["tv", "radio"], grid).collect()] == ["tv"]
 
 
-@pytest.mark.parametrize("trees", [True, False])
+@pytest.mark.parametrize("trees", [True, False, "levels"])
 def test_whole_run(spark, trees):
     lines = si.demo_transactions(series(spark, range(150)).select("date"), per_day=5)
     config = MixConfig(
@@ -608,12 +608,12 @@ def test_whole_run(spark, trees):
         lags=(1,),
         windows=(3,),
     )
-    out = run_mix(lines, config, trees=trees, max_iter=2, carry_features=trees, exclude=("transactions",))
+    out = run_mix(lines, config, trees=trees, max_iter=2, carry_features=bool(trees), exclude=("transactions",))
     assert out.panel.count() == out.train.count() + out.test.count() <= 140
     assert {r["channel"] for r in out.budget.collect()} == set(CHANNELS)
     assert out.metrics.first()["rmse"] > 0
     assert {"is_holiday", "ext_is_holiday", "quarter"} <= set(out.panel.columns)
-    assert ("tv_spend_lag_1" in out.panel.columns) == trees
+    assert ("tv_spend_lag_1" in out.panel.columns) == bool(trees)
     if trees:
         names = {r["feature"] for r in out.importance.collect()}
         assert "transactions" not in names and "tv_adstock" in names

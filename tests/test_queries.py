@@ -33,10 +33,16 @@ def test_all_are_registered():
 def test_only_models_lack_sql():
     assert UNCHECKED == [
         "channel_contributions_gbt",
+        "contributions_leafwise",
         "feature_importance",
+        "gain_importance",
         "report_top_features",
+        "report_top_features_gain",
         "top_features",
+        "top_features_gain",
         "train_gbt",
+        "train_leafwise",
+        "train_leafwise_by",
     ]
 
 
@@ -113,6 +119,26 @@ def test_tree_contributions_and_baseline_make_the_prediction(spark, folder):
     assert worst < 1e-6
 
 
+def test_leafwise_trees_learn_and_add_up(spark, folder):
+    rows = {r["part"]: r for r in QUERIES["train_leafwise"](spark, folder).collect()}
+    assert rows["train"]["r2"] > 0.5
+    df = QUERIES["contributions_leafwise"](spark, folder)
+    parts = sum((F.col(c) for c in catalog.PARTS), F.lit(0.0))
+    assert df.select(F.max(F.abs(F.col("predicted_revenue") - parts))).first()[0] < 1e-6
+
+
+def test_gain_ranks_every_feature(spark, folder):
+    every = {r["feature"]: r["importance"] for r in QUERIES["gain_importance"](spark, folder).collect()}
+    assert set(every) == set(catalog._FEATURES) and min(every.values()) >= 0
+    top = QUERIES["top_features_gain"](spark, folder).collect()
+    assert [r["feature"] for r in top] == sorted(every, key=lambda f: (-every[f], f))[:20]
+
+
+def test_entities_have_trees_of_their_own(spark, folder):
+    rows = QUERIES["train_leafwise_by"](spark, folder).collect()
+    assert {(r["Country"], r["channel"]) for r in rows} and {r["part"] for r in rows} <= {"train", "test"}
+
+
 def test_cross_validation_scores_each_fold(spark, folder):
     rows = QUERIES["cross_validate"](spark, folder).collect()
     assert sorted(r["fold"] for r in rows) == [0, 1, 2]
