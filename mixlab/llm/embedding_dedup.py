@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixlab.llm.components import components
@@ -26,6 +26,8 @@ _CELLS = 1 << 20
 BITS = 62
 BLOCK = 2000
 ROWS_PER_PREFIX = 4096
+# Bytes of the vectors on one side of a comparison in which nothing is parted.
+BLOCK_BYTES = 8 << 20
 
 
 def _planes(number: int, dim: int, seed: int) -> np.ndarray:
@@ -178,8 +180,9 @@ def vector_components(vectors: DataFrame, threshold: float = THRESHOLD, passes:
        that windows do not cut short the count in large groups. Pairs are not emitted.
 
     Recall: it is measured, on 1,024 nodes or more (up to 16,384 while they have few
-    neighbours); that sample may be off by a few in a hundred. Rounds end at the latest
-    when the window holds all nodes, as then all pairs have been compared.
+    neighbours); that sample may be off by a few in a hundred. When a further round would
+    compare as many pairs as there are, all pairs are compared instead, in pairs of blocks
+    that give back a forest over the components found so far.
 
     Null vectors, vectors without components, with null or non-finite components or of
     length zero, and rows with a null id have no links and are their own component.
@@ -225,18 +228,21 @@ def vector_components(vectors: DataFrame, threshold: float = THRESHOLD, passes:
     width = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def linked(begin: int, window: int) -> DataFrame:
-        """Links of the passes from ``begin`` on; a window of all nodes sees every pair, so nothing is parted."""
+        """Links of the passes from ``begin`` on."""
         per_prefix = max(ROWS_PER_PREFIX, ROWS_PER_PREFIX // WINDOW * window)
-        prefix = 0 if window >= number_of_nodes else max(0, math.ceil(math.log2(max(1, number_of_nodes) / per_prefix)))
+        prefix = max(0, math.ceil(math.log2(max(1, number_of_nodes) / per_prefix)))
         coded = nodes.select("node", "dim", "unit").mapInArrow(lambda it: project(it, begin, prefix), "group long, dim int, code long, node long, unit binary")
         ordered = coded.repartition(width, "group", "dim").sortWithinPartitions("group", "dim", "code", "node")
         return stage(ordered.select("group", "dim", "node", "unit").mapInArrow(lambda it: neighbour_links(it, window, threshold), "a long, b long"), "links")
 
     links, begin = linked(0, window), passes
     roots = stage(components(links), "roots")
-    while window < number_of_nodes and measured_recall(nodes, roots, threshold) < recall:
+    complete = window >= number_of_nodes
+    while not complete and measured_recall(nodes, roots, threshold) < recall:
         window *= 2
-        links, begin = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(linked(begin, window)), begin + passes
+        complete = 2 * window * passes >= number_of_nodes
+        further = stage(_all_links(nodes, roots, threshold), "links") if complete else linked(begin, window)
+        links, begin = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(further), begin + passes
         roots = stage(components(links), "roots")
     counted = _counted(nodes.join(roots, "node"), threshold)
     facts = classes.join(roots, "node", "left").join(counted, "node", "left").select(
@@ -251,11 +257,32 @@ def vector_components(vectors: DataFrame, threshold: float = THRESHOLD, passes:
     return both.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _counted(members: DataFrame, threshold: float) -> DataFrame:
-    """(node, links): rows of other nodes of the component that reach the threshold."""
-    sizes = stage(members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "sizes")
-    dealt = members.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn(
+def _all_links(nodes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that join the components of all nodes as every pair that reaches the threshold would."""
+    members = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    def forest(table: pa.Table) -> pa.Table:
+        units = _matrix(table.column("unit"))
+        known, code = np.unique(table.column("root").to_numpy(), return_inverse=True)
+        label = np.arange(len(known))
+        for low in range(0, len(units), 200):
+            a, b = np.nonzero(units[low : low + 200] @ units.T >= threshold)
+            a, b = label[code[a + low]], label[code[b]]
+            a, b = a[a != b], b[a != b]
+            if len(a):
+                label = _joined_up((np.concatenate([a, np.arange(len(known))]), np.concatenate([b, label])), len(known))
+        moved = np.flatnonzero(label != np.arange(len(known)))
+        return pa.table({"a": pa.array(known[label[moved]], pa.int64()), "b": pa.array(known[moved], pa.int64())})
+
+    wide = _in_pairs(members, "dim", F.ceil(F.count("*") * F.col("dim") * 8 / BLOCK_BYTES)).select("dim", "pair", "root", "unit")
+    return wide.groupBy("dim", "pair").applyInArrow(forest, "a long, b long")
+
+
+def _in_pairs(members: DataFrame, by: str, blocks: Column) -> DataFrame:
+    """The members dealt to ``blocks`` per group, each repeated for every pair of blocks that holds its ``own``."""
+    sizes = stage(members.groupBy(by).agg(blocks.cast("int").alias("blocks")), "sizes")
+    dealt = members.join(sizes, by).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    return dealt.withColumn(
         "pair",
         F.explode(
             F.transform(
@@ -264,6 +291,10 @@ def _counted(members: DataFrame, threshold: float) -> DataFrame:
         ),
     )
 
+
+def _counted(members: DataFrame, threshold: float) -> DataFrame:
+    """(node, links): rows of other nodes of the component that reach the threshold."""
+
     def count(table: pa.Table) -> pa.Table:
         units, rows, own = _matrix(table.column("unit")), table.column("rows").to_numpy(), table.column("own").to_numpy()
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
@@ -276,5 +307,6 @@ def _counted(members: DataFrame, threshold: float) -> DataFrame:
             links[low : low + 500] = near @ rows
         return pa.table({"node": table.column("node"), "links": pa.array(links)})
 
+    dealt = _in_pairs(members, "root", F.ceil(F.count("*") / BLOCK))
     wide = dealt.select("root", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "own", "dim", "node", "rows", "unit")
     return wide.groupBy("root", "i", "j").applyInArrow(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))

@@ -104,3 +104,38 @@ def test_dense_recall(spark):
     df = spark.createDataFrame([(k, v, 0) for k, v in rows], SCHEMA)
     least = {r["vec_id"]: r["component_id"] for r in vector_components(df).collect()}
     assert np.mean([least[2 * i] == least[2 * i + 1] for i in range(10000)]) >= 0.95
+
+
+def test_all_pairs_in_blocks_when_rounds_do_not_suffice(spark, monkeypatch):
+    """Two neighbours in two passes miss most links; blocks of a few vectors each find them all."""
+    draw = np.random.default_rng(8)
+    centres = draw.standard_normal((40, 16))
+    rows = [(i, (centres[i % 40] + 0.12 * draw.standard_normal(16)).tolist()) for i in range(400)]
+    rows += [(400 + i, draw.standard_normal(8).tolist()) for i in range(20)] + [(500, None), (501, [0.0] * 16), (502, rows[0][1])]
+    df = spark.createDataFrame([(k, v, 0) for k, v in rows], SCHEMA)
+    want = brute(rows)
+    few = dict(passes=2, window=1, recall=0.0)
+    assert got(vector_components(df, **few)) != want
+    monkeypatch.setattr("mixlab.llm.embedding_dedup.BLOCK_BYTES", 16 * 8 * 50)
+    assert got(vector_components(df, passes=200, window=1, recall=1.1)) == want
+
+
+def test_blocks_alone_join_what_pairs_join(spark, monkeypatch):
+    draw = np.random.default_rng(9)
+    centres = draw.standard_normal((30, 16))
+    rows = [(i, centres[i % 30] + 0.12 * draw.standard_normal(16)) for i in range(300)]
+    units = [(k, 16, (v / np.linalg.norm(v)).tobytes()) for k, v in rows]
+    nodes = spark.createDataFrame(units, "node long, dim int, unit binary")
+    roots = spark.createDataFrame([(0, 0), (0, 30)], "root long, node long")
+    monkeypatch.setattr(embedding_dedup, "BLOCK_BYTES", 16 * 8 * 40)
+    links = embedding_dedup._all_links(nodes, roots, 0.95).unionByName(roots.toDF("a", "b"))
+    least = {r["node"]: r["root"] for r in embedding_dedup.components(links).collect()}
+    groups = {}
+    for k, _, c, _ in brute([(k, v.tolist()) for k, v in rows]):
+        groups.setdefault(c, set()).add(int(k))
+    mine = {}
+    for k, _ in rows:
+        mine.setdefault(least.get(k, k), set()).add(k)
+    together = [g | next((h for h in groups.values() if 30 in h), set()) if 0 in g else g for g in groups.values()]
+    together = [g for g in together if not (30 in g and 0 not in g)]
+    assert sorted(map(sorted, mine.values())) == sorted(map(sorted, together))
