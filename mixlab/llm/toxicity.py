@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mixlab.llm import bitmaps
@@ -32,6 +33,8 @@ BEGINNINGS = (4, 6, 8)
 PADS = 3
 # The bound of the training sample: labelled rows of each class, the first by a hash of the id.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1200, 2400
+# Its bound in bytes of text per class; a text of more than a sixteenth of it is not fitted (but scored and counted).
+TOXIC_BYTES, CLEAN_BYTES = 8 << 20, 16 << 20
 EPOCHS = 5
 # Small samples are gone through more often, to so many steps.
 LEAST_STEPS = 300
@@ -323,10 +326,13 @@ def _place(raw):
     return F.floor(F.greatest(F.least(raw, F.lit(float(MOST_LOGIT))), F.lit(float(-MOST_LOGIT))) * CUTS).cast("long")
 
 
-def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[Model, dict]:
+def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", toxic_bytes: int = TOXIC_BYTES, clean_bytes: int = CLEAN_BYTES) -> tuple[Model, dict]:
     """Model from at most ``toxic`` + ``clean`` labelled rows; calibration and thresholds by language from all of them.
 
-    The rows fitted are the first by a hash of the id among those not held out. All rows
+    The rows fitted are the first by a hash of the id among those not held out, without texts of
+    more than a sixteenth of ``toxic_bytes`` or ``clean_bytes``, and as long as the texts of
+    their class have no more bytes together: these texts alone reach the driver and are
+    broadcast. All rows
     not held out are then scored, those of the sample by models fitted on its other folds,
     and counted by language, label and finely cut logit; the counts alone reach the driver:
     5,121 places at most per label and language that has a threshold of its own. Rows that
@@ -341,7 +347,14 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
     chosen = usable.where("_toxic = 1").orderBy(order, "_id").limit(toxic).unionByName(usable.where("_toxic = 0").orderBy(order, "_id").limit(clean))
     chosen = stage(chosen, "sample")
     found = rows.join(F.broadcast(chosen), "_id").groupBy("_id", "_toxic").agg(F.min(F.struct("_text", "_lang")).alias("_row"))
-    held = sorted(found.select("_id", "_toxic", "_row.*").collect(), key=lambda r: r["_id"])
+    found = stage(found.select("_id", "_toxic", "_row.*"), "found")
+    # At most the sample's number of rows per class, so one task may sum their sizes.
+    sizes = found.select("_id", "_toxic", F.coalesce(F.octet_length("_text"), F.lit(0)).cast("long").alias("_bytes"))
+    bound = F.when(F.col("_toxic") == 1, F.lit(toxic_bytes)).otherwise(F.lit(clean_bytes))
+    so_far = F.sum("_bytes").over(W.partitionBy("_toxic").orderBy(order, "_id").rowsBetween(W.unboundedPreceding, 0))
+    fitted = sizes.where(F.col("_bytes") * 16 <= bound).withColumn("_sum", so_far).where(F.col("_sum") <= bound)
+    chosen = stage(fitted.select("_id", "_toxic"), "sample")
+    held = sorted(found.join(F.broadcast(chosen), ["_id", "_toxic"], "left_semi").collect(), key=lambda r: r["_id"])
     marks = np.array([r["_toxic"] for r in held], np.float64)
     texts = [r["_text"] or "" for r in held]
     model = train(texts, marks)

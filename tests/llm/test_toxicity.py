@@ -95,3 +95,64 @@ def test_thresholds_cover_all_labelled_rows(spark, monkeypatch):
         tox.toxicity(docs, labels, **sample)
         assert seen["rows"] == usable.count()
         assert set(seen["limits"]) == {None, "rare", "much"}
+
+
+def test_sample_is_bounded_in_bytes(spark, monkeypatch):
+    """Very long labelled texts are scored but not fitted, and the fitted ones stay below the bound."""
+    docs, labels = data(spark, 600)
+    long = docs.withColumn("text", F.when(F.col("doc_id") % 40 == 0, F.repeat(F.concat("text", F.lit(" ")), 2000)).otherwise(F.col("text")))
+    seen = []
+    train = tox.train
+    monkeypatch.setattr(tox, "train", lambda texts, marks: seen.append((texts, marks)) or train(texts, marks))
+    bound = dict(toxic_bytes=16_000, clean_bytes=24_000)
+    scored = tox.toxicity(long, labels, **bound).join(labels, "doc_id").collect()
+    texts, marks = seen[0]
+    for mark, most in ((1, 16_000), (0, 24_000)):
+        own = [len(t) for t, m in zip(texts, marks) if m == mark]
+        assert own and max(own) * 16 <= most and most * 0.8 < sum(own) <= most
+    assert len(scored) == 600 and np.mean([(r["score"] >= 0.3) == r["toxic"] for r in scored]) > 0.9
+
+
+def test_logits_equal_plain_loops():
+    """Embedding, filters over every place, maximum, bias and output, one word and filter at a time."""
+    import pyarrow as pa
+
+    texts = ["", "bad a b", "c", "a b c bad bad é", "one two three four five six"]
+    model = tox.train(["bad a b", "a b c", "bad", "c d"] * 20, np.array([1, 0, 1, 0] * 20))
+    words = tox.Letters(*string_buffers(pa.array(texts, pa.large_string())), lower=True)
+    codes, rows = tox.features(words)
+    want = []
+    for i in range(len(texts)):
+        vectors = [sum(model.table[b].astype(float) for b in rows[c]) for c in codes[words.first[i] : words.first[i + 1]]]
+        total, filter_number, column = float(model.output[-1]), 0, 0
+        for width in tox.WIDTHS:
+            for f in range(tox.FILTERS):
+                best = -np.inf
+                # Padding is zero: a filter may hang over the end, and start right after the last word.
+                for start in range(len(vectors) + 1):
+                    response = 0.0
+                    for k in range(width):
+                        if start + k < len(vectors):
+                            response += float(vectors[start + k] @ model.filters[:, column + k * tox.FILTERS + f].astype(float))
+                    best = max(best, response)
+                total += max(best + float(model.bias[filter_number]), 0.0) * float(model.output[filter_number])
+                filter_number += 1
+            column += width * tox.FILTERS
+        want.append(total)
+    assert model.logits(words) == pytest.approx(want, abs=1e-4)
+
+
+def test_word_order_alone_is_learnt():
+    """Both classes hold the same words; only which of two stands first tells them apart."""
+    import pyarrow as pa
+
+    draw = np.random.default_rng(3)
+    texts, marks = [], []
+    for i in range(800):
+        words = [f"w{j}" for j in draw.integers(0, 30, 6)]
+        at = int(draw.integers(len(words)))
+        texts.append(" ".join(words[:at] + (["left", "right"] if i % 2 else ["right", "left"]) + words[at:]))
+        marks.append(i % 2)
+    model = tox.train(texts[:600], np.array(marks[:600]))
+    words = tox.Letters(*string_buffers(pa.array(texts[600:], pa.large_string())), lower=True)
+    assert np.mean((model.logits(words) > 0) == (np.array(marks[600:]) == 1)) > 0.95
