@@ -35,6 +35,9 @@ LEAST_SKETCH = 256
 # Stands for a null id while sets are compared.
 NO_ID = (1 << 63) - 1
 BLOCK = 2000
+# Least keys that a set carries while pairs are compared, and what fills shorter lists up; keys are below it.
+LEAST_KEYS = 16
+NO_KEY = (1 << 63) - 1
 _CELLS = 1 << 20
 # The allocation's model: a comparison's cost in index entries, and the share of pairs taken to have half their content in common.
 COMPARE_COST = 0.2
@@ -325,8 +328,8 @@ def similar_sets(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tup
     open_keys = named.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
     open_keys = open_keys.where("low <> high and size > 2").select("key", "size")
     held = stage(named.join(open_keys, "key").select("key", "size", "node", "root"), "open")
-    rest = held.join(facts, "node").select("key", "size", "node", "rep", "root", "n", "sketch")
-    more = _verified(_open_pairs(rest, rule), source, rule)
+    rest = held.join(facts, "node").join(_least_keys(held), "node").select("key", "size", "node", "rep", "root", "n", "sketch", "least")
+    more = _verified(_open_pairs(rest, rule).distinct(), source, rule)
     more = stage(more, "links")
     if more.take(1):
         roots = components(links.unionByName(more))
@@ -357,12 +360,35 @@ def _sifted(pairs: DataFrame, facts: DataFrame, rule: Rule) -> DataFrame:
     return joined.select("a", "b", "ra", "rb", "na", "nb", "sa", "sb").mapInArrow(sift, "a long, b long, ra long, rb long")
 
 
+def _least_keys(held: DataFrame) -> DataFrame:
+    """(node, least): the ``LEAST_KEYS`` least of a node's keys, ascending, filled up with ``NO_KEY``.
+
+    A node has no more keys than index entries, so a list grows with one set only.
+    """
+    least = F.slice(F.sort_array(F.collect_list("key")), 1, LEAST_KEYS)
+    filled = F.slice(F.concat(least, F.array_repeat(F.lit(NO_KEY), LEAST_KEYS)), 1, LEAST_KEYS)
+    return held.groupBy("node").agg(filled.alias("least"))
+
+
+def _met_before(key: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether the rows' least keys have one in common that is less than ``key``."""
+    out = np.zeros(len(left), bool)
+    step = max(1, _CELLS // LEAST_KEYS**2)
+    for low in range(0, len(left), step):
+        own = slice(low, low + step)
+        x, y = left[own, :, None], right[own, None, :]
+        out[own] = ((x == y) & (x < key)).any(axis=(1, 2))
+    return out
+
+
 def _open_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of different components within each key of ``rest`` that sketches allow.
 
     A key's nodes are dealt into blocks of about ``BLOCK``; every pair of blocks is a
-    group of its own, so no task holds a whole key. Only pairs that pass are emitted, by every
-    key that they share, and made one in the tasks that emit them first.
+    group of its own, so no task holds a whole key. Only pairs that pass are emitted. Near copies
+    share most of their keys: a key leaves a pair to a lesser one that it finds among the least
+    keys of both. The least key of all that a pair shares always emits it; where that is not among
+    them, others do too, so pairs may still repeat.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -374,6 +400,8 @@ def _open_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
         node, rep, root, size = (table.column(c).to_numpy() for c in ("node", "rep", "root", "n"))
         block = table.column("_own").to_numpy()
         same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        key = table.column("key")[0].as_py()
+        least = table.column("least").combine_chunks().flatten().to_numpy().reshape(-1, LEAST_KEYS)
         raw = table.column("sketch").to_pylist()
         # Sizes that meet in a key differ little: all are compared at the length of the shortest sketch.
         sketch = _folded(raw, min(map(len, raw)))
@@ -389,13 +417,15 @@ def _open_pairs(rest: DataFrame, rule: Rule) -> DataFrame:
             if open_.any():
                 apart = np.bitwise_count(sketch[own, None, :] ^ sketch[None, :, :]).sum(axis=2, dtype=np.int64)
                 x, y = np.nonzero(open_ & (apart <= rule.most_apart(total)))
-                found += zip((x + low).tolist(), y.tolist())
+                x += low
+                new = ~_met_before(key, least[x], least[y])
+                found += zip(x[new].tolist(), y[new].tolist())
         found = [(x, y) if node[x] < node[y] else (y, x) for x, y in found]
         x, y = np.array(found, np.int64).reshape(-1, 2).T
         return pa.table({"a": node[x], "b": node[y], "ra": rep[x], "rb": rep[y]})
 
-    pairs = dealt.select("key", F.col("_pair.i").alias("i"), F.col("_pair.j").alias("j"), "_own", "node", "rep", "root", "n", "sketch")
-    return pairs.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long, ra long, rb long").distinct()
+    pairs = dealt.select("key", F.col("_pair.i").alias("i"), F.col("_pair.j").alias("j"), "_own", "node", "rep", "root", "n", "sketch", "least")
+    return pairs.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long, ra long, rb long")
 
 
 def _verified(pairs: DataFrame, source: DataFrame, rule: Rule) -> DataFrame:

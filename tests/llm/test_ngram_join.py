@@ -4,7 +4,7 @@ from fractions import Fraction
 
 import pytest
 
-from mixlab.llm.ngram_join import Rule, allocate, drop_near_copies, ngram_components
+from mixlab.llm.ngram_join import LEAST_SKETCH, Rule, _least_keys, _open_pairs, allocate, drop_near_copies, ngram_components
 
 ODD = [
     (1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one\ttwo"), (6, "one two three"), (7, "a b c d"), (8, "A  b C d"),
@@ -134,3 +134,15 @@ def test_near_copies_go_by_id_and_set(documents):
     rest = [x for x in left if not x[1].lower().startswith("d0 ")]
     assert rest == sorted((str(k), t or "") for k, t in [(1, near), (None, other), (None, lone), (2, clean), (None, None), (None, "")])
     assert len(left) == len(rest) + 1
+
+
+def test_pairs_are_left_to_the_least_key_they_share(spark):
+    """30 sets in 60 keys make each pair once; sets that share one key, far up in their lists, make theirs there."""
+    rows = [(k, i) for k in range(60) for i in range(30)] + [(100 + i, 100 + i // 60) for i in range(120)] + [(500, 100), (500, 101)]
+    held = spark.createDataFrame(rows, "key long, node long")
+    rest = held.join(_least_keys(held), "node").selectExpr(
+        "key", "count(*) over (partition by key) as size", "node", "node as rep", "node as root", "100L as n",
+        f"cast(repeat('a', {LEAST_SKETCH // 8}) as binary) as sketch", "least",
+    )
+    made = [(r["a"], r["b"]) for r in _open_pairs(rest, Rule()).collect()]
+    assert sorted(made) == sorted([(i, j) for i in range(30) for j in range(i + 1, 30)] + [(100, 101)])
