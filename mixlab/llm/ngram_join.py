@@ -354,6 +354,7 @@ def _sifted(pairs: DataFrame, facts: DataFrame, rule: Rule) -> DataFrame:
                     apart = _apart(_folded([left[i] for i in rows], size), _folded([right[i] for i in rows], size))
                     near[rows] = apart <= rule.most_apart(total[rows])
                 yield batch.filter(pa.array(near)).select(["a", "b", "ra", "rb"])
+        give_back()
 
     joined = pairs.join(left, "a").join(right, "b")
     joined = joined.where((F.col("na") * q >= F.col("nb") * p) & (F.col("nb") * q >= F.col("na") * p))
@@ -475,6 +476,7 @@ def _verified(pairs: DataFrame, source: DataFrame, rule: Rule) -> DataFrame:
                     common = int(np.count_nonzero(both[1:] == both[:-1]))
                     keep[low + i] = common >= rule.least_common(len(both))
             yield batch.filter(pa.array(keep)).select(["a", "b"])
+        give_back()
 
     left = content.select(F.col("node").alias("a"), F.col("rep").alias("ra"), F.col("content").alias("ca"))
     right = content.select(F.col("node").alias("b"), F.col("rep").alias("rb"), F.col("content").alias("cb"))

@@ -61,12 +61,13 @@ def keep(name: str, make: Callable[[], object]) -> object:
     return _kept[name]
 
 
-def give_back() -> None:
-    """Free the tables that this Python worker keeps, and return what is free to the system.
+def give_back(but: str | None = None) -> None:
+    """Free the tables that this Python worker keeps, except that named ``but``, and return what is free to the system.
 
     Workers outlive stages: without this, what one operator kept stays beside the next one's.
     """
-    _kept.clear()
+    for name in [n for n in _kept if n != but]:
+        del _kept[name]
     _powers.clear()
     pa.default_memory_pool().release_unused()
     try:

@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from mixlab.llm.text import Words, chunks, keep
+from mixlab.llm.text import Words, chunks, give_back, keep
 
 TOKENIZER = "word_bpe_49k.json"
 # Flat arrays of some 33 bytes a word, so about two million words.
@@ -85,12 +85,19 @@ class WordEncoder:
             out[i] = np.array(got.ids, np.uint32)
         return out
 
-    def _add(self, hashes: np.ndarray, words: list[str]) -> None:
-        # In lots, since an encoding takes many times the size of its ids.
-        parts = [ids for low in range(0, len(words), _LOT) for ids in self._encode(words[low : low + _LOT])]
-        sizes = np.fromiter(map(len, parts), np.int32, len(parts))
+    def _add(self, hashes: np.ndarray, words: Words, places: np.ndarray) -> None:
+        """The words at ``places`` of ``words``, with their hashes."""
+        # In lots, of which only flat arrays stay: strings, encodings and arrays of one word take many times the size of the ids.
+        flat, lengths = [self.ids], [np.zeros(0, np.int32)]
+        for low in range(0, len(places), _LOT):
+            own = places[low : low + _LOT]
+            parts = self._encode([words.data[a:b].tobytes().decode() for a, b in zip(words.starts[own].tolist(), words.ends[own].tolist())])
+            lengths.append(np.fromiter(map(len, parts), np.int32, len(parts)))
+            flat.append(np.concatenate(parts))
+            del parts
+        sizes = np.concatenate(lengths)
         starts = len(self.ids) + np.cumsum(sizes, dtype=np.int64) - sizes
-        self.ids = np.concatenate([self.ids, *parts])
+        self.ids = np.concatenate(flat)
         keys = np.concatenate([self.keys, hashes])
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
@@ -117,8 +124,7 @@ class WordEncoder:
             new = np.flatnonzero(~there)
             first = np.zeros(len(distinct), np.int64)
             first[codes[::-1]] = np.arange(len(codes))[::-1]
-            data, starts, ends = words.data.tobytes(), words.starts, words.ends
-            self._add(distinct[new], [data[starts[j] : ends[j]].decode() for j in first[new]])
+            self._add(distinct[new], words, first[new])
             at, _ = self._places(distinct)
         self.met[at] = True
         return self.start[at][codes], self.length[at][codes]
@@ -146,7 +152,11 @@ def encoder(path: str) -> WordEncoder:
 
 
 def encoded(batches: Iterator[pa.RecordBatch], text: str, path: str) -> Iterator[tuple[pa.RecordBatch, WordEncoder, Words]]:
+    # What other operators left in this worker goes first; what these batches leave free goes at the end.
+    name = f"tokens {path}"
+    give_back(name)
     coder = encoder(path)
     for batch in batches:
         for part, data, offsets in chunks(batch, text):
             yield part, coder, Words(data, offsets)
+    give_back(name)

@@ -2,9 +2,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from mixlab.llm import text, tokens
 from mixlab.llm.packing import RoomTree, best_fit_decreasing, pack
 from mixlab.llm.token_counts import context_report, length_histogram, token_counts, token_lengths, truncated_total
 from mixlab.llm.tokens import WordEncoder, tokenizer_path
@@ -165,3 +167,28 @@ def test_workers_give_back_what_they_keep():
     text.give_back()
     assert not text._kept and not text._powers
     assert tokens.encoder(tokenizer_path()) is not first
+
+
+def test_an_encoding_task_frees_what_other_operators_kept():
+    path = tokens.tokenizer_path()
+    texts = ["one two 7", None, "", "three one", "two  four\n77"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    own = tokens.encoder(path)
+    text.keep("other", lambda: object())
+    turns = tokens.encoded(iter([batch]), "text", path)
+    _, coder, words = next(turns)
+    assert coder is own and "other" not in text._kept
+    plain = own.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    assert [d.tolist() for d in coder.documents(words)] == [e.ids for e in plain]
+    text.keep("other", lambda: object())
+    assert list(turns) == [] and list(text._kept) == [f"tokens {path}"]
+
+
+def test_new_words_are_held_as_strings_one_lot_at_a_time(monkeypatch):
+    monkeypatch.setattr(tokens, "_LOT", 3)
+    coder, sizes = tokens.WordEncoder(tokens.tokenizer_path()), []
+    whole = coder._encode
+    monkeypatch.setattr(coder, "_encode", lambda lot: sizes.append(len(lot)) or whole(lot))
+    words = text.Words(*text.string_buffers(pa.array(["a bc 7 def", "gh b 17 ij kl"])))
+    coder._add(*(lambda h: (h, words, np.arange(len(h))))(words.hashes()))
+    assert sizes == [3, 3, 3] and len(coder.keys) == 9
