@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 2 << 20
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -70,6 +70,11 @@ def give_back(but: str | None = None) -> None:
         del _kept[name]
     _powers.clear()
     pa.default_memory_pool().release_unused()
+    trim()
+
+
+def trim() -> None:
+    """Return what this process has freed to the system; cheap beside a chunk's work."""
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):  # no such call here

@@ -2,7 +2,7 @@
 
 The word tokenizer drops white space before it merges, so a text's ids are the ids of its
 words one after another. Each distinct word is encoded once and its ids are then gathered
-by numpy; a full cache keeps the words that were met since it was last full.
+by numpy; a full cache keeps the words that came again since it was last full.
 """
 
 from __future__ import annotations
@@ -13,11 +13,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from mixlab.llm.text import Words, chunks, give_back, keep
+from mixlab.llm.text import Words, chunks, give_back, keep, trim
 
 TOKENIZER = "word_bpe_49k.json"
-# Flat arrays of some 33 bytes a word, so about two million words.
-CACHE_BYTES = 64 << 20
+# Flat arrays of some 33 bytes a word, so about one million words.
+CACHE_BYTES = 32 << 20
 _LOT = 10_000
 
 # A digit is always a token of its own here, so it can part words in one call.
@@ -57,7 +57,7 @@ class WordEncoder:
         return 21 * len(self.keys) + 4 * len(self.ids)
 
     def keep(self, places: np.ndarray) -> None:
-        """Only the words at ``places`` (ascending) stay; none of them counts as met any more."""
+        """Only the words at ``places`` (ascending) stay; none of them counts as met again any more."""
         sizes, starts = self.length[places], self.start[places]
         ends = np.cumsum(sizes, dtype=np.int64)
         self.ids = self.ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
@@ -98,9 +98,11 @@ class WordEncoder:
         sizes = np.concatenate(lengths)
         starts = len(self.ids) + np.cumsum(sizes, dtype=np.int64) - sizes
         self.ids = np.concatenate(flat)
+        del flat, lengths
         keys = np.concatenate([self.keys, hashes])
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
+        del keys
         self.start = np.concatenate([self.start, starts])[order]
         self.length = np.concatenate([self.length, sizes])[order]
         self.met = np.concatenate([self.met, np.zeros(len(hashes), bool)])[order]
@@ -116,17 +118,18 @@ class WordEncoder:
         """Where each word's ids start in ``ids``, and how many there are."""
         codes, distinct = pd.factorize(words.hashes())
         if self.size() > self.capacity:
-            # Words met since the last turn stay, unless they are too many themselves.
+            # Words met again since the last turn stay, unless they are too many themselves.
             kept = np.flatnonzero(self.met)
             self.keep(kept if 2 * (21 * len(kept) + 4 * int(self.length[kept].sum())) <= self.capacity else kept[:0])
         at, there = self._places(distinct)
+        # A word that was new in an earlier chunk and comes again; most words never do.
+        self.met[at[there]] = True
         if not there.all():
             new = np.flatnonzero(~there)
             first = np.zeros(len(distinct), np.int64)
             first[codes[::-1]] = np.arange(len(codes))[::-1]
             self._add(distinct[new], words, first[new])
             at, _ = self._places(distinct)
-        self.met[at] = True
         return self.start[at][codes], self.length[at][codes]
 
     def counts(self, words: Words) -> np.ndarray:
@@ -159,4 +162,6 @@ def encoded(batches: Iterator[pa.RecordBatch], text: str, path: str) -> Iterator
     for batch in batches:
         for part, data, offsets in chunks(batch, text):
             yield part, coder, Words(data, offsets)
+            # Arrays of a chunk are of all sizes and leave holes, which would add up to a multiple of the cache.
+            trim()
     give_back(name)

@@ -192,3 +192,28 @@ def test_new_words_are_held_as_strings_one_lot_at_a_time(monkeypatch):
     words = text.Words(*text.string_buffers(pa.array(["a bc 7 def", "gh b 17 ij kl"])))
     coder._add(*(lambda h: (h, words, np.arange(len(h))))(words.hashes()))
     assert sizes == [3, 3, 3] and len(coder.keys) == 9
+
+
+def _words(line):
+    return text.Words(*text.string_buffers(pa.array([line])))
+
+
+def test_a_full_cache_keeps_the_words_that_came_again():
+    coder = WordEncoder(tokenizer_path())
+    for line in ("alpha beta gamma", "alpha delta", "epsilon beta"):
+        coder.spans(_words(line))
+    coder.capacity = coder.size() - 1
+    line = "zeta gamma alpha"
+    assert [d.tolist() for d in coder.documents(_words(line))] == [coder.tokenizer.encode(line, add_special_tokens=False).ids]
+    # Delta and epsilon came once and made room; gamma was taken in anew.
+    _, there = coder._places(_words("alpha beta gamma delta epsilon zeta").hashes())
+    assert there.tolist() == [True, True, True, False, False, True]
+
+
+def test_an_encoding_task_returns_memory_after_each_chunk(monkeypatch):
+    returned = []
+    monkeypatch.setattr(tokens, "trim", lambda: returned.append(1))
+    cut = tokens.chunks
+    monkeypatch.setattr(tokens, "chunks", lambda batch, name: cut(batch, name, 8))
+    batch = pa.RecordBatch.from_arrays([pa.array(["one two three", "four five six", "seven"])], names=["text"])
+    assert len(list(tokens.encoded(iter([batch]), "text", tokens.tokenizer_path()))) == len(returned) == 3
