@@ -129,7 +129,8 @@ def _gbt(max_iter: int, max_depth: int, seed: int) -> GBTRegressor:
         featureSubsetStrategy="0.9",
         subsamplingRate=0.8,
         seed=seed,
-        cacheNodeIds=True,
+        # Trees of this depth are small, so they are sent to the rows; kept node ids cost a cached table per level.
+        cacheNodeIds=False,
         checkpointInterval=10,
     )
 

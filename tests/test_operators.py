@@ -753,3 +753,12 @@ def test_weibull_without_weight_is_refused():
     with pytest.raises(ValueError):
         weibull_weights(shape=2.0, max_lag=1)
     assert weibull_weights(shape=1.0, max_lag=1) == [1.0]
+
+
+def test_boosting_keeps_no_node_ids_and_fits_the_same_trees(spark):
+    rows = spark.range(60).selectExpr("cast(id % 7 as double) AS a", "cast(id % 11 as double) AS b", "cast((id * 37) % 53 as double) AS revenue")
+    assert not mo._gbt(3, 3, 1).getCacheNodeIds()
+    own = mo.train_gbt(rows, ["a", "b"], max_iter=3, max_depth=3, seed=1)
+    kept = mo.TreeScorer(mo._gbt(3, 3, 1).setCacheNodeIds(True).fit(mo._training_rows(rows, ["a", "b"], "revenue")), ["a", "b"])
+    found, wanted = ([r["prediction"] for r in s.predict(rows).orderBy("a", "b", "revenue").collect()] for s in (own, kept))
+    assert found == pytest.approx(wanted, rel=1e-9) and len(set(found)) > 1
