@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mixlab.llm import bitmaps
-from mixlab.llm.text import Words, chunks, give_back, mix, string_buffers
+from mixlab.llm.text import Words, chunks, give_back, mix, string_buffers, trim
 from mixlab.session import stage
 
 BUCKETS = 1 << 16
@@ -38,6 +38,8 @@ TOXIC_BYTES, CLEAN_BYTES = 8 << 20, 16 << 20
 EPOCHS = 5
 # Small samples are gone through more often, to so many steps.
 LEAST_STEPS = 300
+# Words whose temporary arrays are held at once while the sample is counted (those of one document at least).
+WORDS_AT_ONCE = 1 << 18
 # Parts of the sample that are scored by a model fitted on the others, and places per unit of the logit in the counts.
 FOLDS = 5
 CUTS, MOST_LOGIT = 64, 40
@@ -54,6 +56,12 @@ class Letters(Words):
 
 def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Place of each word among the distinct ones, and the distinct words' table rows."""
+    codes, _, rows = _distinct(words)
+    return codes, rows
+
+
+def _distinct(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``features`` with the distinct words' hashes in between."""
     codes, distinct = pd.factorize(words.hashes())
     first = np.zeros(len(distinct), np.int64)
     first[codes[::-1]] = np.arange(len(codes))[::-1]
@@ -63,7 +71,29 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
         stops = np.minimum(starts + length, ends)
         rows.append(_short_hash(words.data, starts, stops, length))
     salted = [mix(r + np.uint64(k)) & np.uint64(BUCKETS - 1) for k, r in enumerate(rows)]
-    return codes, np.stack(salted, axis=1).astype(np.int32)
+    return codes, distinct, np.stack(salted, axis=1).astype(np.int32)
+
+
+def encoded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``features`` of all texts, and the place of each text's first word; only one chunk's words are spelt out at a time."""
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], names=["text"])
+    codes, hashes, rows, counts = [], [np.zeros(0, np.uint64)], [np.zeros((0, 1 + len(BEGINNINGS)), np.int32)], [np.zeros(1, np.int64)]
+    for _, data, offsets in chunks(batch, "text"):
+        words = Letters(data, offsets, lower=True)
+        own, distinct, spots = _distinct(words)
+        codes.append(own.astype(np.int32))
+        hashes.append(distinct)
+        rows.append(spots)
+        counts.append(words.counts())
+    # Chunks come in order, so the distinct words keep the order of their first appearance.
+    place, distinct = pd.factorize(np.concatenate(hashes))
+    first = np.zeros(len(distinct), np.int64)
+    first[place[::-1]] = np.arange(len(place))[::-1]
+    at = 0
+    for k, own in enumerate(codes):
+        codes[k] = place[at + own].astype(np.int32)
+        at += len(hashes[k + 1])
+    return np.concatenate([np.zeros(0, np.int32), *codes]), np.concatenate(rows)[first], np.cumsum(np.concatenate(counts))
 
 
 def _short_hash(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, length: int) -> np.ndarray:
@@ -149,15 +179,18 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     if len(set(labels.tolist())) < 2:
         return Model(*[np.zeros(0)] * 4, constant=30.0 if len(labels) and labels[0] else -30.0)
     draw = np.random.default_rng(seed)
-    words = Letters(*string_buffers(pa.array(texts, pa.large_string())), lower=True)
-    codes, rows = features(words)
-    owner = np.repeat(np.arange(len(texts)), words.counts())
-    pairs = np.unique(owner * np.int64(len(rows)) + codes)
-    doc, code = pairs // len(rows), pairs % len(rows)
+    codes, rows, starts = encoded(texts)
     seen = np.zeros((2, BUCKETS))
-    for k in range(rows.shape[1]):
-        spot = np.unique(doc * np.int64(BUCKETS) + rows[code, k])
-        np.add.at(seen, (labels[spot // BUCKETS].astype(int), spot % BUCKETS), 1)
+    low = 0
+    while low < len(texts):
+        high = max(low + 1, int(np.searchsorted(starts, starts[low] + WORDS_AT_ONCE, "right")) - 1)
+        owner = np.repeat(np.arange(low, high), np.diff(starts[low : high + 1]))
+        pairs = np.unique(owner * np.int64(len(rows)) + codes[starts[low] : starts[high]])
+        doc, code = pairs // max(len(rows), 1), pairs % max(len(rows), 1)
+        for k in range(rows.shape[1]):
+            spot = np.unique(doc * np.int64(BUCKETS) + rows[code, k])
+            np.add.at(seen, (labels[spot // BUCKETS].astype(int), spot % BUCKETS), 1)
+        low = high
     share = (seen + 0.5) / (np.array([[np.sum(labels == 0)], [np.sum(labels == 1)]]) + 1.0)
     odds = np.log(share[1] / share[0]) * (seen.sum(axis=0) >= 3)
     table = (0.05 * draw.standard_normal((BUCKETS, DIM))).astype(np.float32)
@@ -177,7 +210,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
         order = draw.permutation(len(texts))
         for low in range(0, len(order), batch):
             docs = order[low : low + batch]
-            parts = [codes[words.first[d] : words.first[d + 1]] for d in docs]
+            parts = [codes[starts[d] : starts[d + 1]] for d in docs]
             first = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
             used, own = np.unique(np.concatenate(parts), return_inverse=True)
             embedded = model.embed(rows[used])
@@ -316,6 +349,7 @@ def _cross_fitted(spark, texts: list[str], marks: np.ndarray) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(raw.astype(np.float64))], names=["at", "raw"])
 
     rows = spark.range(0, folds, 1, folds).mapInArrow(out_of_fold, "at long, raw double").collect()
+    shared.destroy()
     out = np.zeros(len(marks))
     out[[r["at"] for r in rows]] = [r["raw"] for r in rows]
     return out
@@ -356,12 +390,17 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
     chosen = stage(fitted.select("_id", "_toxic"), "sample")
     held = sorted(found.join(F.broadcast(chosen), ["_id", "_toxic"], "left_semi").collect(), key=lambda r: r["_id"])
     marks = np.array([r["_toxic"] for r in held], np.float64)
-    texts = [r["_text"] or "" for r in held]
+    texts, langs = [r["_text"] or "" for r in held], [r["_lang"] for r in held]
+    del held
     model = train(texts, marks)
+    trim()
     if min(marks.sum(), (1 - marks).sum()) < 2:
         return model, {None: 0.5}
     raw = _cross_fitted(spark, texts, marks)
-    sampled = spark.createDataFrame([(r["_lang"], r["_toxic"], float(x)) for r, x in zip(held, raw)], "_lang string, _toxic int, _raw double")
+    # The driver lives on: what fitting took goes back, or it would stay beside the later steps.
+    del texts
+    give_back()
+    sampled = spark.createDataFrame([(lang, int(mark), float(x)) for lang, mark, x in zip(langs, marks, raw)], "_lang string, _toxic int, _raw double")
 
     # Texts stay where they are scanned: a bitmap picks those to score, and only logits are joined with the labels.
     others = stage(usable.join(F.broadcast(chosen.select("_id")), "_id", "left_anti"), "others")

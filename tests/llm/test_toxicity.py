@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -5,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mixlab.llm import toxicity as tox
-from mixlab.llm.text import string_buffers
+from mixlab.llm.text import chunks, string_buffers
 
 
 def data(spark, number=900, seed=1):
@@ -156,3 +157,42 @@ def test_word_order_alone_is_learnt():
     model = tox.train(texts[:600], np.array(marks[:600]))
     words = tox.Letters(*string_buffers(pa.array(texts[600:], pa.large_string())), lower=True)
     assert np.mean((model.logits(words) > 0) == (np.array(marks[600:]) == 1)) > 0.95
+
+
+def test_encoding_by_chunks_equals_that_of_all_texts(monkeypatch):
+    import pyarrow as pa
+
+    texts = ["", "a", "b c a", "...", "krach1 krach2 é a"] + [f"w{i % 7} x{i} common" for i in range(200)] + ["y " * 3000, ""]
+    whole = tox.Letters(*string_buffers(pa.array(texts, pa.large_string())), lower=True)
+    codes, rows = tox.features(whole)
+    for size in (1, 50, 1 << 20):
+        monkeypatch.setattr(tox, "chunks", lambda batch, text, size=size: chunks(batch, text, size))
+        got = tox.encoded(texts)
+        assert [x.tolist() for x in got] == [codes.tolist(), rows.tolist(), whole.first.tolist()]
+    assert [len(x) for x in tox.encoded([])] == [0, 0, 1]
+    assert [len(x) for x in tox.encoded(["", "."])] == [0, 0, 3]
+
+
+def test_fitting_holds_little_beside_the_texts(monkeypatch):
+    """The driver fits: no temporary array over all words of the sample."""
+    monkeypatch.setattr(tox, "LEAST_STEPS", 1)
+    draw = np.random.default_rng(2)
+    texts = [" ".join(f"w{j}" for j in draw.integers(0, 5000, 1200)) for _ in range(1200)]
+    tracemalloc.start()
+    try:
+        tox.train(texts, np.arange(1200) % 3 == 0, epochs=1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8 * sum(map(len, texts))
+
+
+def test_driver_keeps_nothing_of_the_fit(spark, monkeypatch):
+    """What fitting took is given back before the corpus is scored."""
+    docs, labels = data(spark, 200)
+    order = []
+    monkeypatch.setattr(tox, "train", lambda texts, marks, plain=tox.train: order.append("train") or plain(texts, marks))
+    monkeypatch.setattr(tox, "give_back", lambda plain=tox.give_back: order.append("give_back") or plain())
+    monkeypatch.setattr(tox.bitmaps, "mark", lambda *a, plain=tox.bitmaps.mark: order.append("score") or plain(*a))
+    tox.fit(docs, labels)
+    assert order == ["train", "give_back", "score"]
